@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from webloom.llm import langid, minhash, mixing, packing, pii
 from webloom.llm.common import load, written
-from webloom.llm.queries import KEY, clean_labelled
+from webloom.llm.queries import KEY, good_ids
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -24,7 +24,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is clear stay; ``lang`` becomes the language found."""
     docs = docs.select(*COLUMNS)
-    dictionaries = langid.profiles(clean_labelled(docs, spark, sf_dir))
+    dictionaries = langid.profiles(docs, good_ids(spark, sf_dir))
     found = docs.withColumn("found", langid.language_of("text", dictionaries))
     return found.where("found.language is not null").select("doc_id", "text", F.col("found.language").alias("lang"), "source", "n_chars")
 
@@ -34,9 +34,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     share an id, one."""
     docs = docs.select(*COLUMNS)
     gone = minhash.near_duplicates(docs).select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti")
-    again = kept.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    return kept.join(again, "doc_id", "left_anti").union(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    # one shuffle of the texts: the join leaves them partitioned and sorted by the id
+    named = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    return named.select(*COLUMNS).union(docs.where("doc_id is null"))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

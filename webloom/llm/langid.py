@@ -21,20 +21,21 @@ RESULT = T.StructType([T.StructField("language", T.StringType()), T.StructField(
 LEVEL, SHORT_LEVEL, SHORT, CHUNK = 6, 19, 512, 4096
 
 
-def profiles(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", max_bytes: int = 32768, docs_per_language: int = 60) -> dict[str, bytes]:
-    """Raw-content dictionaries, from a bounded sample of the labelled rows: at most
-    ``docs_per_language`` texts of each language, those of least content hash, cut at
-    ``max_bytes`` together. The driver receives no more than that. Rows with a null
-    text or language are ignored; ties of the hash are ordered by the text."""
-    df = pick(labelled, text=text_col, lang=lang_col).where("text is not null and lang is not null and length(text) > 0")
-    size = max_bytes
-    w = Window.partitionBy("lang").orderBy("h", "text")
-    df = df.select("lang", content_key("text", seed=7).alias("h"), F.substring("text", 1, size).alias("text"))
-    rows = df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= docs_per_language).orderBy("lang", "rank").collect()
+def profiles(docs: DataFrame, good: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_bytes: int = 32768, docs_per_language: int = 60) -> dict[str, bytes]:
+    """Raw-content dictionaries from a bounded sample of the documents whose ids are in the
+    first column of ``good``: at most ``docs_per_language`` of each language, those of
+    least id hash, cut at ``max_bytes`` together. The choice moves ids alone; the driver
+    receives no more than the sample. Rows with a null id, text or language are ignored."""
+    df = pick(docs, id=id_col, text=text_col, lang=lang_col).where("id is not null and text is not null and lang is not null")
+    ids = df.select("id", "lang").join(good.select(F.col(good.columns[0]).alias("id")).distinct(), "id").withColumn("h", content_key("id", seed=7))
+    w = Window.partitionBy("lang").orderBy("h", "id")
+    chosen = ids.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= docs_per_language).select("id", "lang", "rank")
+    # as many rows as the bound and the number of languages allow, at any size of the input
+    rows = df.join(F.broadcast(chosen), ["id", "lang"]).select("lang", "rank", F.substring("text", 1, max_bytes).alias("text")).collect()
     out: dict[str, bytes] = {}
-    for r in rows:
+    for r in sorted(rows, key=lambda r: (r.lang, r["rank"], r.text)):
         out[r.lang] = out.get(r.lang, b"") + _folded(r.text) + b" "
-    return {k: v[:size] for k, v in sorted(out.items())}
+    return {k: v[:max_bytes] for k, v in sorted(out.items())}
 
 
 def _folded(text: str) -> bytes:

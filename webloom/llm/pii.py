@@ -214,10 +214,10 @@ def entities(text: str) -> list[tuple[int, int, str]]:
             words = m[2].split()
             given = [w for w in words if w.casefold() in _KIND]
             if (m[1] or len(words) > 1) and (given or m[1]) and (m[1] or len(given) < len(words) and words[0].casefold() in _KIND):
-                parts.update(words)
+                parts.update(w.casefold() for w in words)
     if parts:
         for m in re.finditer(r"[^\W\d_]+(?:[-'’][^\W\d_]+)*", text):
-            if m[0] in parts and not any(m.start() < y and x < m.end() for x, y in taken):
+            if m[0][0] != m[0][0].lower() and m[0].casefold() in parts and not any(m.start() < y and x < m.end() for x, y in taken):
                 found.append((*m.span(), "name"))
     return sorted(found)
 

@@ -17,10 +17,9 @@ MIN_COSINE = 0.95
 MIN_BOUND = 0.8
 
 
-def clean_labelled(docs: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+def good_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that the label table calls good and not toxic."""
-    labels = load(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id")
-    return docs.join(labels, "doc_id", "left_semi")
+    return load(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id")
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +64,7 @@ def op9_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
-    return langid.identify(docs, langid.profiles(clean_labelled(docs, spark, sf_dir)))
+    return langid.identify(docs, langid.profiles(docs, good_ids(spark, sf_dir)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_url_reputation, op3_embedding_pairs, op4_minhash, op5_pii, op6_compression, op7_toxicity, op8_mixing, op9_hmm, op10_language)}
