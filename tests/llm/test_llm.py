@@ -499,13 +499,18 @@ def test_rates_meet_targets_and_match_dense_descent(spark):
         want = tokens.sum() * np.array(share)
         assert r.min() >= 0
         got = (r * tokens) @ p
-        # dense projected gradient from the same start
+        # dense accelerated projected gradient from the same start
         gram = (p * tokens[:, None]).T @ p
         scale = np.diag(gram)
         eta = 1 / np.linalg.eigvalsh(gram / np.sqrt(np.outer(scale, scale))).max()
-        x = np.ones(200)
+        x = y = np.ones(200)
+        pace, off = 1.0, np.inf
         for _ in range(len(steps)):
-            x = np.maximum(0, x - p @ (eta * ((x * tokens) @ p - want) / scale))
+            now = ((((x * tokens) @ p - want) ** 2) / scale).sum()
+            pace, off = 1.0 if now > off else pace, now
+            new = np.maximum(0, y - p @ (eta * ((y * tokens) @ p - want) / scale))
+            faster = (1 + np.sqrt(1 + 4 * pace**2)) / 2
+            x, y, pace = new, new + (pace - 1) / faster * (new - x), faster
         assert np.allclose(x, r, atol=1e-8)
         assert np.abs(got - want).max() <= 2e-2 * want.sum()
     assert np.abs((mixing._rate(p, mixing.fit_rates(df, 3, [0.5, 0.3, 0.2])) * tokens) @ p - tokens.sum() * np.array([0.5, 0.3, 0.2])).max() < 1e-4 * tokens.sum()

@@ -1,8 +1,9 @@
 """Mixing to target weights with soft membership.
 
 A classifier fitted on the label table gives every document a posterior over domains.
-Projected gradient finds non-negative document rates whose expected domain totals,
-sum of rate x tokens x posterior, come closest to the targets in (relative) least squares.
+Accelerated projected gradient finds non-negative document rates whose expected domain
+totals, sum of rate x tokens x posterior, come closest to the targets in (relative) least
+squares. The momentum restarts when the distance grows.
 Each step is one aggregate over the table; the rate of a document is a function of its
 posterior and the gradients so far, so no state is kept by document.
 """
@@ -44,35 +45,48 @@ def _posteriors(rows: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Rec
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(tokens.astype(np.int64)), lists], ["id", "tokens", "p"])
 
 
-def _rate(p: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
-    r = np.ones(len(p))
-    for g in steps:
-        r = np.maximum(0.0, r - p @ g)
-    return r
+Steps = list[tuple[float, np.ndarray]]
 
 
-def _sums(rows: Iterator[pa.RecordBatch], steps: list[np.ndarray], d: int) -> Iterator[pa.RecordBatch]:
-    total, gram = np.zeros(d), np.zeros((d, d))
+def _points(p: np.ndarray, steps: Steps) -> tuple[np.ndarray, np.ndarray]:
+    """(rates, the points ahead of them at which the next gradient is taken)."""
+    x = y = np.ones(len(p))
+    for move, g in steps:
+        new = np.maximum(0.0, y - p @ g)
+        x, y = new, new + move * (new - x)
+    return x, y
+
+
+def _rate(p: np.ndarray, steps: Steps) -> np.ndarray:
+    return _points(p, steps)[0]
+
+
+def _sums(rows: Iterator[pa.RecordBatch], steps: Steps, d: int) -> Iterator[pa.RecordBatch]:
+    total, ahead, gram = np.zeros(d), np.zeros(d), np.zeros((d, d))
     for batch in rows:
         p = np.asarray(batch.column("p").flatten()).reshape(batch.num_rows, d)
         t = np.asarray(batch.column("tokens"), float)
-        total += (t * _rate(p, steps)) @ p
-        gram += (p * t[:, None]).T @ p
-    yield pa.RecordBatch.from_arrays([pa.array([total.tolist()]), pa.array([gram.reshape(-1).tolist()])], ["total", "gram"])
-
-
-def fit_rates(scored: DataFrame, domains: int, targets: list[float], rounds: int = 200, tolerance: float = 1e-6) -> list[np.ndarray]:
-    """The gradient steps that turn posteriors into rates. ``targets`` are shares; the
-    total is that of the input. Stops when the totals are met or no longer move (a target
-    for a domain that no document belongs to can't be met)."""
+        x, y = _points(p, steps)
+        total += (t * x) @ p
+        ahead += (t * y) @ p
+        if not steps:
+            gram += (p * t[:, None]).T @ p
+    yield pa.RecordBatch.from_arrays([pa.array([a.reshape(-1).tolist()]) for a in (total, ahead, gram)], ["total", "ahead", "gram"])
+
+
+def fit_rates(scored: DataFrame, domains: int, targets: list[float], rounds: int = 200, tolerance: float = 1e-6) -> Steps:
+    """The steps (momentum, gradient) that turn posteriors into rates. ``targets`` are
+    shares; the total is that of the input. Stops when the totals are met or no longer
+    move (a target for a domain that no document belongs to can't be met)."""
     share = np.array(targets) / sum(targets)
-    steps: list[np.ndarray] = []
+    steps: Steps = []
     want = eta = scale = last = None
+    pace, off = 1.0, np.inf
     while True:
         # one row for each partition
-        rows = scored.mapInArrow(lambda it: _sums(it, steps, domains), "total array<double>, gram array<double>")
-        got = rows.agg(*(F.sum(F.col("total")[i]).alias(f"t{i}") for i in range(domains)), *(F.sum(F.col("gram")[i]).alias(f"g{i}") for i in range(domains**2))).first()
-        total = np.array([got[f"t{i}"] or 0.0 for i in range(domains)])
+        rows = scored.mapInArrow(lambda it: _sums(it, steps, domains), "total array<double>, ahead array<double>, gram array<double>")
+        got = rows.agg(*(F.sum(F.col(c)[i]).alias(f"{c[0]}{i}") for c, n in (("total", domains), ("ahead", domains), ("gram", domains**2)) for i in range(n))).first()
+        total, ahead = (np.array([got[f"{c}{i}"] or 0.0 for i in range(domains)]) for c in "ta")
         if want is None:
             want = total.sum() * share
             gram = np.array([got[f"g{i}"] or 0.0 for i in range(domains**2)]).reshape(domains, domains)
@@ -82,7 +96,12 @@ def fit_rates(scored: DataFrame, domains: int, targets: list[float], rounds: int
             return steps
         if last is not None and np.abs(total - last).max() <= 1e-3 * tolerance * max(1.0, want.sum()):
             return steps
-        steps, last = [*steps, eta * (total - want) / scale], total
+        now = float(((total - want) ** 2 / scale).sum())
+        if now > off:
+            pace = 1.0
+        faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
+        steps = [*steps, ((pace - 1) / faster, eta * (ahead - want) / scale)]
+        last, off, pace = total, now, faster
 
 
 def document_rates(docs: DataFrame, model: Model, targets: Mapping[str, float] = TARGETS, id_col: str = "doc_id", text_col: str = "text", rounds: int = 200, tolerance: float = 1e-6) -> DataFrame:
