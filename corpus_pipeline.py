@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webloom.llm import langid, minhash, mixing, packing, pii
-from webloom.llm.common import load, written
+from webloom.llm.common import bound_batches, load, written
 from webloom.llm.queries import KEY, good_ids
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -41,6 +41,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the text gives way to surrogates; ``n_chars`` follows the text."""
+    bound_batches(spark)
     docs = docs.select(*COLUMNS).withColumn("s", pii.surrogate_text("text", KEY))
     return docs.select("doc_id", F.col("s.text").alias("text"), "lang", "source", F.length("s.text").cast("long").alias("n_chars"))
 

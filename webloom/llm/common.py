@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _OWN_DIR: list[str] = []
 
 
@@ -46,9 +47,18 @@ def written(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 8 MB (one row at least), where the session sets no bound
+    of its own: Spark's default of 10,000 rows can be gigabytes of long texts."""
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, str(8 << 20))
+
+
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns under the operator's own names, so that extra columns of
-    the input can't clash with internal ones."""
+    the input can't clash with internal ones. Every operator starts here, so this also
+    bounds the batches that Python workers get."""
+    bound_batches(df.sparkSession)
     return df.select(*(F.col(f"`{c}`").alias(name) for name, c in columns.items()))
 
 
@@ -150,7 +160,7 @@ def _pieces(b: bytes) -> Iterator[bytes]:
         at = to
 
 
-def batches(rows: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def batches(rows: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most`` characters, so that a worker's memory
     doesn't depend on how long the texts are."""
     for batch in rows:

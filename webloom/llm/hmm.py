@@ -43,7 +43,7 @@ def symbols(h: np.ndarray, vocabulary: np.ndarray, rare: int) -> np.ndarray:
 
 
 def _count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches(rows, "text", 32 << 20):
+    for batch in batches(rows, "text", 8 << 20):
         h = np.sort(words_of(batch.column("text").to_pylist())[1])
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
         n = np.diff(np.concatenate([first, [len(h)]]))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batches, content_key, doc_features, pick, written
+from .common import batches, bound_batches, content_key, doc_features, pick, written
 from .linear import BITS, Model, fit, labelled_sample
 
 DOMAINS = ("fine", "poor", "toxic")
@@ -124,6 +124,7 @@ def document_rates(docs: DataFrame, model: Model, targets: Mapping[str, float] =
 def mixed(docs: DataFrame, model: Model, targets: Mapping[str, float] = TARGETS, seed: int = 3, text_col: str = "text", rounds: int = 200, tolerance: float = 1e-6) -> DataFrame:
     """``docs`` with every row as often as its rate says: the whole part of the rate, and
     once more if the row's content hash falls below the fraction. All columns are kept."""
+    bound_batches(docs.sparkSession)
     raw = docs.select(F.col(f"`{text_col}`").alias("text"), F.lit(None).cast("long").alias("id"))
     schema = "id bigint, tokens bigint, p array<double>"
     scored = written(raw.mapInArrow(lambda it: _posteriors(it, model), schema), "mix-scored")

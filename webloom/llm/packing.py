@@ -54,7 +54,7 @@ class Counter:
     """Token counts. Pretokens never contain an inner space, so a text whose spaces stand
     between two other characters is the sum of its space-led words, which are kept."""
 
-    MOST = 1_200_000
+    MOST = 200_000
 
     def __init__(self, path: str = TOKENIZER):
         import tiktoken
