@@ -1,4 +1,5 @@
-import pandas as pd
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ def drain(df, name, mode="append"):
     return df.sparkSession.table(name)
 
 
-EVENTS = [(i, pd.Timestamp("2024-01-01") + pd.Timedelta(minutes=7 * i), i % 3, float(i)) for i in range(60)] + [(99, pd.Timestamp("2024-01-03"), 0, 1.0)]
+EVENTS = [(i, datetime(2024, 1, 1) + timedelta(minutes=7 * i), i % 3, float(i)) for i in range(60)] + [(99, datetime(2024, 1, 3), 0, 1.0)]
 
 
 def test_windows_stream_like_batches(spark, stream):

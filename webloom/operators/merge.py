@@ -88,7 +88,9 @@ class Merge:
         pairs = list(self.on.items()) if isinstance(self.on, dict) else [(c, c) for c in self.on]
         names = self.target.columns
         lower = {c.lower(): c for c in self.source.columns}
-        pick = [c for c in self.source.columns if c != self.order]
+        # a column that only orders the source isn't a value
+        held = {c.lower() for c in names}
+        pick = [c for c in self.source.columns if c != self.order or c.lower() in held]
         seq = F.col(f"`{self.order}`") if self.order else F.monotonically_increasing_id()
         src = self.source.select(F.struct(*(F.col(f"`{c}`") for c in pick)).alias(s), seq.alias("_seq"))
         if not self.order:
