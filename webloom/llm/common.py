@@ -11,6 +11,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -164,7 +165,7 @@ def batches(rows: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20) ->
     """The same rows in batches of about ``most`` characters, so that a worker's memory
     doesn't depend on how long the texts are."""
     for batch in rows:
-        n = np.cumsum(np.array(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), np.int64))
+        n = np.cumsum(np.array(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), np.int64))
         at = 0
         while at < batch.num_rows:
             base = n[at - 1] if at else 0

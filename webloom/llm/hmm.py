@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -169,7 +170,7 @@ def _expect(rows: Iterator[pa.RecordBatch], model: Hmm, segment: int) -> Iterato
     for batch in rows:
         seq = batch.column("seq")
         flat = np.asarray(seq.flatten(), np.int32)
-        bounds = np.concatenate([[0], np.cumsum(np.asarray(pa.compute.list_value_length(seq), np.int64))])
+        bounds = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(seq), np.int64))])
         one = expected_counts(model, _cut(bounds, segment), flat)
         starts, moves, emits, total = starts + one[0], moves + one[1], emits + one[2], total + one[3]
     at = np.flatnonzero(emits.sum(axis=1) > 0)
@@ -205,7 +206,7 @@ def baum_welch(encoded: DataFrame, model: Hmm, rounds: int = 3, segment: int = S
 def _score(rows: Iterator[pa.RecordBatch], model: Hmm) -> Iterator[pa.RecordBatch]:
     for batch in rows:
         seq = batch.column("seq")
-        n = np.asarray(pa.compute.list_value_length(seq), np.int64)
+        n = np.asarray(pc.list_value_length(seq), np.int64)
         ll = log_likelihood(model, np.concatenate([[0], np.cumsum(n)]), np.asarray(seq.flatten(), np.int32))
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n), pa.array(ll)], ["id", "n", "ll"])
 

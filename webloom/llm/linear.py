@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -125,6 +126,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_cols: list[str], m
     t = t.take(pa.array(order))
     col = t.column("buckets").combine_chunks() if t.num_rows else None
     bucket = np.asarray(col.flatten(), np.int64) if t.num_rows else np.zeros(0, np.int64)
-    size = np.asarray(pa.compute.list_value_length(col), np.int64) if t.num_rows else np.zeros(0, np.int64)
+    size = np.asarray(pc.list_value_length(col), np.int64) if t.num_rows else np.zeros(0, np.int64)
     ys = np.stack([np.asarray(t.column(c), np.int64) for c in names], axis=1) if t.num_rows else np.zeros((0, len(names)), np.int64)
     return t.num_rows, np.repeat(np.arange(t.num_rows), size), bucket, ys, np.asarray(t.column("h"), np.int64)
