@@ -611,6 +611,30 @@ def test_hmm_scores(spark):
     assert hmm.score_documents(df.where("doc_id in (90, 91, 92)")).where("log_likelihood = 0").count() == 3
 
 
+def test_every_word_has_its_own_emission(spark):
+    docs = docs_of(spark, [(i, " ".join(f"w{(i % 100) * 400 + j}" for j in range(400)), "a") for i in range(200)])
+    got = hmm.score_documents(docs, states=1, rounds=2).collect()
+    assert len(got) == 200 and all(r.perplexity == pytest.approx(40000, rel=0.02) for r in got)
+
+
+def test_blocks_and_buckets_agree_with_one_block(spark):
+    rnd = random.Random(8)
+    docs = docs_of(spark, [(i, rand_words(rnd, rnd.randint(0, 90), "abc", 3), "a") for i in range(60)] + [(None, None, "a")]).select(F.col("doc_id").alias("id"), "text").repartition(3)
+    one, many = hmm.fit(docs.coalesce(1), 3, 3), hmm.fit(docs, 3, 3, block=200)
+    assert one.blocks.select("block").distinct().count() == 1 and many.blocks.select("block").distinct().count() > 6
+    assert one.totals.words == many.totals.words == len({w for r in docs.collect() for w in (r.text or "").split()})
+    assert np.allclose(one.seen, many.seen, rtol=1e-4) and np.allclose(one.totals.move, many.totals.move, atol=1e-3)
+    counts = {}
+    for f in (one, many):
+        counts[f is one] = {}
+        for r in f.pooled().collect():
+            for w, c in zip(np.frombuffer(r.h, np.uint64), np.frombuffer(r.c, np.float32).reshape(-1, 3)):
+                assert np.allclose(counts[f is one].setdefault(int(w), c), c)
+    assert len(counts[True]) == one.totals.words and counts[True].keys() == counts[False].keys() and all(np.allclose(c, counts[False][w], atol=0.02) for w, c in counts[True].items())
+    whole = np.stack(list(counts[True].values()) + [np.zeros(3)])  # the last: a word never seen
+    assert np.allclose(hmm.emissions(whole, one.totals).sum(axis=0), 1, atol=1e-4)
+
+
 # 10 language
 
 

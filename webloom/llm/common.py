@@ -4,6 +4,7 @@ folder, vectorised word hashing, hashed linear features."""
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -48,6 +49,27 @@ def written(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within, the shuffle files of a query go when it ends, not when the driver happens to
+    collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a table that ``written`` gave and nothing reads any more."""
+    jvm = df.sparkSession.sparkContext._jvm
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Arrow batches of at most 8 MB (one row at least), where the session sets no bound
     of its own: Spark's default of 10,000 rows can be gigabytes of long texts."""

@@ -1,26 +1,34 @@
 """Hidden Markov language model.
 
-The vocabulary is the corpus' most frequent words; every other word is one of a fixed
-number of hashed classes, so each text has a likelihood. Baum-Welch runs over all texts:
-each partition adds up the expected counts of its sequences, Spark adds up the partitions.
+Every word of the corpus has emission counts of its own, in a table that is spread over
+the cluster by word hash and grows with the corpus; words that it lacks share the mass of
+one word. Texts are kept in blocks of bounded size. A round of Baum-Welch sends each block
+the counts of its words, and the sums of the blocks' expected counts are the next table.
 The scaled forward recursion then gives the exact likelihood of every whole document.
+
+With ``vocabulary`` the table is instead one of so many frequent words and ``rare`` hashed
+classes for all others, which each worker holds whole.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batches, mix64, pick, words_of, written
+from .common import batches, discard, mix64, pick, shuffles_dropped, words_of, written
 
 STATES, VOCABULARY, RARE, SEGMENT = 6, 30000, 256, 128
+#: Words of a block, and of a row of it.
+BLOCK, CHUNK = 1 << 22, 1 << 17
+SMOOTH = 0.01
 
 
 @dataclass
@@ -180,9 +188,9 @@ def _expect(rows: Iterator[pa.RecordBatch], model: Hmm, segment: int) -> Iterato
 
 
 def baum_welch(encoded: DataFrame, model: Hmm, rounds: int = 3, segment: int = SEGMENT, smooth: float = 0.01) -> tuple[Hmm, list[float]]:
-    """(model, log-likelihood before each round). Sequences are the texts cut into
-    segments of ``segment`` words, all of them. A round's result is one row for each
-    symbol, whatever the size of the corpus."""
+    """(model, log-likelihood before each round) of exactly ``rounds`` rounds. Sequences
+    are the texts cut into segments of ``segment`` words, all of them. A round's result is
+    one row for each symbol, whatever the size of the corpus."""
     k, seen = len(model.start), []
     schema = "key int, " + ", ".join(f"c{j} double" for j in range(k))
     for _ in range(rounds):
@@ -211,16 +219,196 @@ def _score(rows: Iterator[pa.RecordBatch], model: Hmm) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n), pa.array(ll)], ["id", "n", "ll"])
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, vocabulary: int = VOCABULARY, rare: int = RARE, rounds: int = 3, seed: int = 0) -> DataFrame:
+# every word: blocks of texts, counts by word
+
+
+@dataclass
+class Totals:
+    """What the driver holds of a model: sums over all words."""
+
+    move: np.ndarray
+    start: np.ndarray
+    state: np.ndarray  # expected words in each state
+    words: int  # different ones
+    ll: float = 0.0
+
+
+def emissions(counts: np.ndarray, totals: Totals) -> np.ndarray:
+    """Probabilities of words from their counts. Smoothing follows the states' shares, so a
+    word without counts tells nothing of its state; all such words have the mass of one."""
+    whole = totals.state.sum()
+    return (counts + SMOOTH * totals.state / whole) / (totals.state * (1 + SMOOTH * (totals.words + 1) / whole))
+
+
+def leaning(h: np.ndarray, states: int, seed: int) -> np.ndarray:
+    """Random start by hash alone: every word leans to some of the states."""
+    out = np.ones((len(h), states))
+    for j in range(states):
+        for i in (1, 2):
+            x = mix64(h + mix64(np.array([seed * 1000003 + 2 * j + i], np.uint64)))
+            out[:, j] *= (x >> np.uint64(11)).astype(float) * 2.0**-53 + 1e-12
+    return -np.log(out)
+
+
+def initial_totals(states: int, words: int, seed: int) -> Totals:
+    g = np.random.default_rng(seed)
+    start = g.dirichlet(np.full(states, 5.0))
+    return Totals(g.dirichlet(np.full(states, 5.0), states), start, np.zeros(states), words)
+
+
+def _slices(h: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket's words begin among sorted hashes, and their number."""
+    edges = np.array([(q << 64) // buckets for q in range(buckets)], np.uint64)
+    return np.append(np.searchsorted(h, edges), len(h))
+
+
+def _block(rows: list[tuple[list, np.ndarray, np.ndarray]], block: int, buckets: int, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+    h, seq = np.unique(np.concatenate([r[2] for r in rows]), return_inverse=True)
+    seq, at, docs = seq.astype(np.int32), 0, []
+    for ids, bounds, words in rows:
+        docs.append((block, -1, ids, np.diff(bounds).tobytes(), seq[at : at + len(words)].tobytes(), None))
+        at += len(words)
+    cut = _slices(h, buckets)
+    docs += [(block, q, None, None, None, h[a:b].tobytes()) for q, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a]
+    types = (pa.int64(), pa.int32(), pa.list_(kind), pa.binary(), pa.binary(), pa.binary())
+    for row in docs:
+        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], ["block", "bucket", "ids", "n", "seq", "h"])
+
+
+def _blocks(rows: Iterator[pa.RecordBatch], buckets: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of about ``most`` words of whole texts: rows of ids, lengths and the places
+    of words among the block's own sorted words, and a row of those for each bucket."""
+    held, size, block, kind = [], 0, TaskContext.get().partitionId() << 32, pa.null()
+    for batch in batches(rows, "text", 6 * min(CHUNK, most)):
+        bounds, h = words_of(batch.column("text").to_pylist())
+        kind = batch.column("id").type
+        held.append((batch.column("id").to_pylist(), bounds, h))
+        size += len(h)
+        if size >= most:
+            yield from _block(held, block, buckets, kind)
+            held, size, block = [], 0, block + 1
+    if held:
+        yield from _block(held, block, buckets, kind)
+
+
+COUNTS = "block bigint, bucket int, h binary, c binary"
+
+
+def _counted(block: int, h: np.ndarray, counts: np.ndarray, totals: Totals, buckets: int) -> pa.Table:
+    """Rows of counts for each bucket; one of bucket -1 with what the driver sums up."""
+    cut = _slices(h, buckets)
+    c = counts.astype(np.float32)
+    rest = np.concatenate([totals.move.ravel(), totals.start, counts.sum(axis=0), [totals.ll]])
+    rows = [(block, -1, None, rest.tobytes())] + [(block, q, h[a:b].tobytes(), c[a:b].tobytes()) for q, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a]
+    return pa.table([pa.array(v, t) for v, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=["block", "bucket", "h", "c"])
+
+
+def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(v or b"" for v in column.to_pylist()), kind)
+
+
+def _pool(t: pa.Table, states: int) -> pa.Table:
+    """Each block's words of this bucket with their counts in all blocks. Rows without
+    counts only ask."""
+    h = [np.frombuffer(x, np.uint64) for x in t.column("h").to_pylist()]
+    c = [np.zeros((len(x), states)) if y is None else np.frombuffer(y, np.float32).reshape(-1, states) for x, y in zip(h, t.column("c").to_pylist())]
+    words, at = np.unique(np.concatenate(h), return_inverse=True)
+    flat = np.concatenate(c)
+    total = np.stack([np.bincount(at, flat[:, j], len(words)) for j in range(states)], axis=1).astype(np.float32)
+    ends = np.cumsum([len(x) for x in h])
+    rows = [(b, q, x.tobytes(), total[at[e - len(x) : e]].tobytes()) for b, q, x, e in zip(t.column("block").to_pylist(), t.column("bucket").to_pylist(), h, ends)]
+    return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=["block", "bucket", "h", "c"])
+
+
+def _model(words: pa.Table, totals: Totals, seed: int) -> tuple[np.ndarray, Hmm]:
+    """A block's words, and the model with their emissions."""
+    words = words.sort_by("bucket")
+    h, k = _joined(words.column("h"), np.uint64), len(totals.start)
+    if not totals.state.any():
+        return h, Hmm(h, 0, totals.start, totals.move, leaning(h, k, seed))
+    return h, Hmm(h, 0, totals.start, totals.move, emissions(_joined(words.column("c"), np.float32).reshape(-1, k), totals))
+
+
+def _expect_block(docs: pa.Table, words: pa.Table, totals: Totals, buckets: int, segment: int, seed: int) -> pa.Table:
+    h, model = _model(words, totals, seed)
+    bounds = np.concatenate([[0], np.cumsum(_joined(docs.column("n"), np.int64))])
+    starts, moves, emits, ll = expected_counts(model, _cut(bounds, segment), _joined(docs.column("seq"), np.int32))
+    return _counted(docs.column("block")[0].as_py(), h, emits, Totals(moves, starts, emits.sum(axis=0), 0, ll), buckets)
+
+
+def _score_block(docs: pa.Table, words: pa.Table, totals: Totals, seed: int) -> pa.Table:
+    _, model = _model(words, totals, seed)
+    n = _joined(docs.column("n"), np.int64)
+    ll = log_likelihood(model, np.concatenate([[0], np.cumsum(n)]), _joined(docs.column("seq"), np.int32))
+    return pa.table([pa.chunked_array([x.flatten() for x in docs.column("ids").chunks]), pa.array(n), pa.array(ll)], names=["id", "n", "ll"])
+
+
+def _updated(rest: np.ndarray, words: int, states: int) -> Totals:
+    k = states
+    move, start = rest[: k * k].reshape(k, k) + SMOOTH, rest[k * k : k * k + k] + SMOOTH
+    return Totals(move / move.sum(axis=1, keepdims=True), start / start.sum(), rest[k * k + k : -1], words, float(rest[-1]))
+
+
+@dataclass
+class Fitted:
+    blocks: DataFrame
+    counts: DataFrame  # of all words, by block and bucket
+    totals: Totals
+    seen: list[float]  # log-likelihood of all texts before each round
+    seed: int
+
+    def pooled(self) -> DataFrame:
+        k = len(self.totals.start)
+        return self.counts.where("bucket >= 0").groupBy("bucket").applyInArrow(lambda t: _pool(t, k), COUNTS)
+
+    def by_block(self, f: Callable[[pa.Table, pa.Table], pa.Table], schema: T.StructType | str) -> DataFrame:
+        """``f`` of each block's texts and of its words with their counts."""
+        texts = self.blocks.where("bucket = -1").select("block", "ids", "n", "seq")
+        return texts.groupBy("block").cogroup(self.pooled().groupBy("block")).applyInArrow(f, schema)
+
+    def summed(self) -> np.ndarray | None:
+        rows = self.counts.where("bucket = -1").select("c").toArrow().column("c").to_pylist()
+        return np.sum([np.frombuffer(r) for r in rows], axis=0) if rows else None
+
+
+def fit(raw: DataFrame, states: int = STATES, rounds: int = 3, segment: int = SEGMENT, seed: int = 0, block: int = BLOCK) -> Fitted:
+    """Baum-Welch over all texts and words of ``raw`` (id, text)."""
+    chars = raw.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+    buckets = max(8, chars >> 26)
+    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("bucket", T.IntegerType()), T.StructField("ids", T.ArrayType(raw.schema["id"].dataType)), *(T.StructField(c, T.BinaryType()) for c in ("n", "seq", "h"))])
+    blocks = written(raw.mapInArrow(lambda it: _blocks(it, buckets, block), schema), "hmm-blocks")
+    asked = blocks.where("bucket >= 0").select("block", "bucket", "h", F.lit(None).cast("binary").alias("c"))
+    words = asked.groupBy("bucket").applyInArrow(lambda t: pa.table({"n": [len(np.unique(_joined(t.column("h"), np.uint64)))]}), "n bigint").agg(F.sum("n")).first()[0] or 0
+    fitted = Fitted(blocks, asked, initial_totals(states, words, seed), [], seed)
+    for _ in range(rounds if words else 0):
+        totals = fitted.totals
+        with shuffles_dropped(raw.sparkSession):
+            counts = written(fitted.by_block(lambda a, b: _expect_block(a, b, totals, buckets, segment, seed), COUNTS), "hmm-counts", "snappy")
+        if fitted.totals.state.any():
+            discard(fitted.counts)
+        fitted.counts = counts
+        fitted.totals = _updated(fitted.summed(), words, states)
+        if totals.state.any():  # a random start has no proper likelihood
+            fitted.seen.append(fitted.totals.ll)
+    return fitted
+
+
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, vocabulary: int | None = None, rare: int = RARE, rounds: int = 3, seed: int = 0) -> DataFrame:
     """(id, n_words, log_likelihood, perplexity) of every document under a model trained
-    on all of them. Words are compared in lower case. A null, empty or wordless text has
-    no words, likelihood 0 and a null perplexity. Null ids and repeated rows are kept as
-    they come, each repetition counting in the training; other columns are ignored."""
+    on all of them. Words are compared in lower case.
+    A null, empty or wordless text has no words, likelihood 0 and a null perplexity. Null
+    ids and repeated rows are kept as they come, each repetition counting in the training;
+    other columns are ignored. Without ``vocabulary`` every word counts as itself."""
     raw = pick(docs, id=id_col, text=text_col)
-    words = vocabulary_of(raw, "text", vocabulary)
-    schema = T.StructType([raw.schema["id"], T.StructField("seq", T.ArrayType(T.IntegerType()))])
-    encoded = written(raw.mapInArrow(lambda it: _encode(it, words, rare), schema), "hmm-encoded")
-    model, _ = baum_welch(encoded, initial(words, rare, states, seed), rounds)
     out = T.StructType([raw.schema["id"], T.StructField("n", T.LongType()), T.StructField("ll", T.DoubleType())])
-    scored = encoded.mapInArrow(lambda it: _score(it, model), out)
+    if vocabulary is None:
+        fitted = fit(raw, states, rounds, seed=seed)
+        totals = fitted.totals
+        scored = fitted.by_block(lambda a, b: _score_block(a, b, totals, seed), out)
+    else:
+        words = vocabulary_of(raw, "text", vocabulary)
+        schema = T.StructType([raw.schema["id"], T.StructField("seq", T.ArrayType(T.IntegerType()))])
+        encoded = written(raw.mapInArrow(lambda it: _encode(it, words, rare), schema), "hmm-encoded")
+        model, _ = baum_welch(encoded, initial(words, rare, states, seed), rounds)
+        scored = encoded.mapInArrow(lambda it: _score(it, model), out)
     return scored.select(F.col("id").alias(id_col), F.col("n").alias("n_words"), F.round("ll", 4).alias("log_likelihood"), F.when(F.col("n") > 0, F.round(F.exp(-F.col("ll") / F.col("n")), 4)).alias("perplexity"))
