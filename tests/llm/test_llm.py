@@ -635,6 +635,18 @@ def test_blocks_and_buckets_agree_with_one_block(spark):
     assert np.allclose(hmm.emissions(whole, one.totals).sum(axis=0), 1, atol=1e-4)
 
 
+def test_training_goes_on_until_the_states_part(spark):
+    rnd = random.Random(9)
+    docs = docs_of(spark, [(i, " ".join(f"{'ab'[j % 2]}{rnd.randrange(40)}" for j in range(100)), "a") for i in range(80)])
+    got = hmm.score_documents(docs).agg(F.avg("perplexity")).first()[0]
+    assert got < 44  # 40 words can follow a word; 80 for a model without order
+    seen = hmm.fit(docs.select(F.col("doc_id").alias("id"), "text")).seen
+    assert 2 <= len(seen) < hmm.ROUNDS and seen[-1] - seen[-2] < hmm.TOLERANCE * abs(seen[-2])
+    # where the sample has no text, the start is random
+    bare = hmm.fit(docs.where("doc_id < 3").select(F.col("doc_id").alias("id"), "text"), 2, 4, sample=1, seed=3)
+    assert bare.totals.state.sum() == pytest.approx(300, rel=1e-3)
+
+
 # 10 language
 
 

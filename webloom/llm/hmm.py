@@ -4,7 +4,8 @@ Every word of the corpus has emission counts of its own, in a table that is spre
 the cluster by word hash and grows with the corpus; words that it lacks share the mass of
 one word. Texts are kept in blocks of bounded size. A round of Baum-Welch sends each block
 the counts of its words, and the sums of the blocks' expected counts are the next table.
-The scaled forward recursion then gives the exact likelihood of every whole document.
+Rounds go on until the log-likelihood settles. The scaled forward recursion then gives the
+exact likelihood of every whole document.
 
 With ``vocabulary`` the table is instead one of so many frequent words and ``rare`` hashed
 classes for all others, which each worker holds whole.
@@ -23,12 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batches, discard, mix64, pick, shuffles_dropped, words_of, written
+from .common import batches, content_key, discard, mix64, pick, shuffles_dropped, words_of, written
 
 STATES, VOCABULARY, RARE, SEGMENT = 6, 30000, 256, 128
-#: Words of a block, and of a row of it.
-BLOCK, CHUNK = 1 << 22, 1 << 17
-SMOOTH = 0.01
+#: Words of a block, of a row of it, and of the texts that the training starts from.
+BLOCK, CHUNK, SAMPLE = 1 << 22, 1 << 17, 1 << 20
+#: Training ends when a round's relative gain in log-likelihood is below TOLERANCE, after
+#: ROUNDS at the latest. On the sample, where it starts, the states first have to part.
+ROUNDS, TOLERANCE, SMOOTH = 100, 1e-4, 0.01
 
 
 @dataclass
@@ -309,14 +312,14 @@ def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
 
 def _pool(t: pa.Table, states: int) -> pa.Table:
     """Each block's words of this bucket with their counts in all blocks. Rows without
-    counts only ask."""
+    counts only ask, those of block -1 only give."""
     h = [np.frombuffer(x, np.uint64) for x in t.column("h").to_pylist()]
     c = [np.zeros((len(x), states)) if y is None else np.frombuffer(y, np.float32).reshape(-1, states) for x, y in zip(h, t.column("c").to_pylist())]
     words, at = np.unique(np.concatenate(h), return_inverse=True)
     flat = np.concatenate(c)
     total = np.stack([np.bincount(at, flat[:, j], len(words)) for j in range(states)], axis=1).astype(np.float32)
     ends = np.cumsum([len(x) for x in h])
-    rows = [(b, q, x.tobytes(), total[at[e - len(x) : e]].tobytes()) for b, q, x, e in zip(t.column("block").to_pylist(), t.column("bucket").to_pylist(), h, ends)]
+    rows = [(b, q, x.tobytes(), total[at[e - len(x) : e]].tobytes()) for b, q, x, e in zip(t.column("block").to_pylist(), t.column("bucket").to_pylist(), h, ends) if b >= 0]
     return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=["block", "bucket", "h", "c"])
 
 
@@ -349,6 +352,30 @@ def _updated(rest: np.ndarray, words: int, states: int) -> Totals:
     return Totals(move / move.sum(axis=1, keepdims=True), start / start.sum(), rest[k * k + k : -1], words, float(rest[-1]))
 
 
+def _settled(seen: list[float], tolerance: float) -> bool:
+    return len(seen) > 1 and seen[-1] - seen[-2] < tolerance * abs(seen[-2])
+
+
+def _fit_sample(t: pa.Table, states: int, rounds: int, tolerance: float, buckets: int, segment: int, seed: int) -> pa.Table:
+    bounds, flat = words_of(t.column("text").to_pylist())
+    h, seq = np.unique(flat, return_inverse=True)
+    cut, seq, totals, seen = _cut(bounds, segment), seq.astype(np.int32), initial_totals(states, len(h), seed), []
+    emit = leaning(h, states, seed)
+    emit /= emit.sum(axis=0)
+    for _ in range(rounds):
+        starts, moves, counts, ll = expected_counts(Hmm(h, 0, totals.start, totals.move, emit), cut, seq)
+        if not counts.any():
+            break
+        found = Totals(moves, starts, counts.sum(axis=0), len(h), ll)
+        totals = _updated(np.concatenate([moves.ravel(), starts, counts.sum(axis=0), [ll]]), len(h), states)
+        emit = emissions(counts, totals)
+        seen.append(ll)
+        # a gain as small as this also occurs before the states part
+        if len(seen) > 20 and _settled(seen, tolerance):
+            break
+    return _counted(-1, h, counts, found, buckets) if seen else pa.table({"block": pa.array([], pa.int64()), "bucket": pa.array([], pa.int32()), "h": pa.array([], pa.binary()), "c": pa.array([], pa.binary())})
+
+
 @dataclass
 class Fitted:
     blocks: DataFrame
@@ -371,31 +398,40 @@ class Fitted:
         return np.sum([np.frombuffer(r) for r in rows], axis=0) if rows else None
 
 
-def fit(raw: DataFrame, states: int = STATES, rounds: int = 3, segment: int = SEGMENT, seed: int = 0, block: int = BLOCK) -> Fitted:
-    """Baum-Welch over all texts and words of ``raw`` (id, text)."""
+def fit(raw: DataFrame, states: int = STATES, rounds: int = ROUNDS, tolerance: float = TOLERANCE, segment: int = SEGMENT, seed: int = 0, block: int = BLOCK, sample: int = SAMPLE) -> Fitted:
+    """Baum-Welch over all texts and words of ``raw`` (id, text) until the log-likelihood
+    of all texts settles. It starts from a model of about ``sample`` words, that of some of
+    the texts by hash, so that the states have parted before all texts are read."""
     chars = raw.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
-    buckets = max(8, chars >> 26)
+    buckets, part = max(8, chars >> 26), max(1, chars // (6 * sample))
+    some = raw.where(F.pmod(content_key("text", seed=seed), F.lit(part)) == 0).select(F.lit(0).alias("one"), "text")
+    begun = written(some.groupBy("one").applyInArrow(lambda t: _fit_sample(t, states, rounds, tolerance / 5, buckets, segment, seed), COUNTS), "hmm-sample")
     schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("bucket", T.IntegerType()), T.StructField("ids", T.ArrayType(raw.schema["id"].dataType)), *(T.StructField(c, T.BinaryType()) for c in ("n", "seq", "h"))])
     blocks = written(raw.mapInArrow(lambda it: _blocks(it, buckets, block), schema), "hmm-blocks")
     asked = blocks.where("bucket >= 0").select("block", "bucket", "h", F.lit(None).cast("binary").alias("c"))
     words = asked.groupBy("bucket").applyInArrow(lambda t: pa.table({"n": [len(np.unique(_joined(t.column("h"), np.uint64)))]}), "n bigint").agg(F.sum("n")).first()[0] or 0
-    fitted = Fitted(blocks, asked, initial_totals(states, words, seed), [], seed)
+    fitted = Fitted(blocks, begun, initial_totals(states, words, seed), [], seed)
+    rest = fitted.summed()
+    if rest is not None:
+        fitted.totals = _updated(rest, words, states)
+    fitted.counts = begun.unionByName(asked)
     for _ in range(rounds if words else 0):
         totals = fitted.totals
         with shuffles_dropped(raw.sparkSession):
             counts = written(fitted.by_block(lambda a, b: _expect_block(a, b, totals, buckets, segment, seed), COUNTS), "hmm-counts", "snappy")
-        if fitted.totals.state.any():
-            discard(fitted.counts)
-        fitted.counts = counts
+        discard(begun)
+        begun = fitted.counts = counts
         fitted.totals = _updated(fitted.summed(), words, states)
         if totals.state.any():  # a random start has no proper likelihood
             fitted.seen.append(fitted.totals.ll)
+        if _settled(fitted.seen, tolerance):
+            break
     return fitted
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, vocabulary: int | None = None, rare: int = RARE, rounds: int = 3, seed: int = 0) -> DataFrame:
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, vocabulary: int | None = None, rare: int = RARE, rounds: int = ROUNDS, seed: int = 0) -> DataFrame:
     """(id, n_words, log_likelihood, perplexity) of every document under a model trained
-    on all of them. Words are compared in lower case.
+    on all of them, until it settles or for ``rounds``. Words are compared in lower case.
     A null, empty or wordless text has no words, likelihood 0 and a null perplexity. Null
     ids and repeated rows are kept as they come, each repetition counting in the training;
     other columns are ignored. Without ``vocabulary`` every word counts as itself."""
