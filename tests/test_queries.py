@@ -38,6 +38,17 @@ def test_query(spark, duck, name):
     assert got == sorted(tuple(norm(r[names.index(c)]) for c in cols) for r in cur.fetchall())
 
 
+def test_every_link_encoded(spark, tmp_path):
+    html = "".join(f'<a href="{h}">x</a>' for h in ("/plain", "/für", "/a b", "/a%20b", "/漢?q=é#ü", "/<`>"))
+    spark.createDataFrame([(7, "https://e.org/en/1", html)], "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    want = [(7, i, f"https://e.org{p}") for i, p in enumerate(("/plain", "/f%C3%BCr", "/a%20b", "/a%20b", "/%E6%BC%A2?q=%C3%A9#%C3%BC", "/%3C%60%3E"))]
+    assert sorted(map(tuple, QUERIES["links_whole"](spark, str(tmp_path)).collect())) == want
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert sorted(c.execute(ORACLES["links_whole"]).fetchall()) == want
+    assert len(QUERIES["links"](spark, str(tmp_path)).collect()) < len(want)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 10
     assert set(entry.oracle_sql()) <= set(entry.queries()) and set(QUERIES) <= set(entry.queries())

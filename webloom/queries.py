@@ -139,6 +139,18 @@ def links(spark, d):
     return out.where(~F.contains("link", F.lit("%"))).select("page_id", F.col("pos").cast("long").alias("pos"), "link")
 
 
+# The SQL of ``links`` keeps hrefs of printable ASCII alone; this one is over every link.
+_ENCODED = "array_to_string(list_transform(string_split({}, ''), lambda c: CASE WHEN regexp_full_match(c, '[!-~]') AND c NOT IN ('\"', '<', '>', '`') THEN c ELSE url_encode(c) END), '')"
+
+
+@query(f"""
+SELECT page_id, pos - 1 AS pos, regexp_extract(url, '^([^/]*//[^/?#]*)', 1) || {_ENCODED.format("hrefs[pos]")} AS link
+FROM (SELECT page_id, url, hrefs, unnest(range(1, len(hrefs) + 1)) AS pos FROM (SELECT page_id, url, {_HREFS} AS hrefs FROM pages))""")
+def links_whole(spark, d):
+    out = _t(spark, d, "pages").select("page_id", F.posexplode(H.links("html", "url")).alias("pos", "link"))
+    return out.select("page_id", F.col("pos").cast("long").alias("pos"), "link")
+
+
 @query(f"""
 SELECT DISTINCT page_id, regexp_extract(url, '^([^/]*//[^/?#]*)', 1) || unnest({_HREFS}) AS link, false AS nofollow FROM pages""")
 def link_records(spark, d):
