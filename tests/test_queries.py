@@ -49,6 +49,14 @@ def test_every_link_encoded(spark, tmp_path):
     assert len(QUERIES["links"](spark, str(tmp_path)).collect()) < len(want)
 
 
+def test_merge_sides_cover_the_whole_table(spark, duck):
+    keys = {k for (k,) in duck.execute("SELECT o_orderkey FROM orders").fetchall()}
+    got = {r.k for r in QUERIES["merge_upsert_whole"](spark, SF).collect()}
+    assert got == keys | {2 * k for k in keys}
+    c = QUERIES["merge_counts_whole"](spark, SF).first()
+    assert min(c.rows_inserted, c.rows_updated, c.rows_deleted) > 0 and c.rows_updated + c.rows_deleted == len(keys)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 10
     assert set(entry.oracle_sql()) <= set(entry.queries()) and set(QUERIES) <= set(entry.queries())

@@ -257,6 +257,44 @@ def fresh_key_pushdown(spark, d):
     return fresh_keys(m.source, m.target, ["k"], "v > 100000").select("k")
 
 
+# The same over whole tables: all orders are the target, and the source, with keys doubled
+# so that either side has rows of its own.
+
+_WHOLE_CTE = """
+WITH t AS (SELECT o_orderkey AS k, o_totalprice AS v, o_orderstatus AS s FROM orders),
+s AS (SELECT o_orderkey * 2 AS k, o_totalprice + 1 AS v, 'N' AS s FROM orders),
+j AS (SELECT coalesce(t.k, s.k) AS k, t.k AS tk, s.k AS sk, t.v AS tv, s.v AS sv, t.s AS ts, s.s AS ss FROM t FULL JOIN s ON t.k = s.k)"""
+
+
+def _merge_whole(spark, d):
+    o = _t(spark, d, "orders")
+    t = o.select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"), F.col("o_orderstatus").alias("s"))
+    s = o.select((F.col("o_orderkey") * 2).alias("k"), (F.col("o_totalprice") + 1).alias("v"), F.lit("N").alias("s"), F.col("o_orderkey").alias("o"))
+    return Merge(t, s, ["k"], order="o")
+
+
+@query(_WHOLE_CTE + " SELECT k, CASE WHEN sk IS NOT NULL THEN sv ELSE tv END AS v, CASE WHEN sk IS NOT NULL THEN ss ELSE ts END AS s FROM j")
+def merge_upsert_whole(spark, d):
+    return _merge_whole(spark, d).when_matched_update().when_not_matched_insert().result().target
+
+
+@query(_WHOLE_CTE + " SELECT k, CASE WHEN tk IS NOT NULL AND sk IS NOT NULL AND ts = 'O' THEN sv ELSE tv END AS v, CASE WHEN tk IS NOT NULL AND sk IS NULL THEN 'X' WHEN tk IS NOT NULL AND sk IS NOT NULL AND ts = 'O' THEN ss ELSE ts END AS s FROM j WHERE tk IS NOT NULL AND NOT (sk IS NOT NULL AND ts = 'F')")
+def merge_clauses_whole(spark, d):
+    m = _merge_whole(spark, d).when_matched_update("target.s = 'O'").when_matched_delete("target.s = 'F'").when_not_matched_by_source_update({"s": "'X'"})
+    return m.result().target
+
+
+@query(_WHOLE_CTE + " SELECT count(*) FILTER (tk IS NULL)::BIGINT AS rows_inserted, count(*) FILTER (tk IS NOT NULL AND sk IS NOT NULL)::BIGINT AS rows_updated, count(*) FILTER (sk IS NULL)::BIGINT AS rows_deleted FROM j")
+def merge_counts_whole(spark, d):
+    return _merge_whole(spark, d).when_matched_update().when_not_matched_insert().when_not_matched_by_source_delete().result().counts
+
+
+@query(_WHOLE_CTE + " SELECT k FROM j WHERE sk IS NOT NULL AND NOT coalesce(tv > 100000, false)")
+def fresh_key_pushdown_whole(spark, d):
+    m = _merge_whole(spark, d)
+    return fresh_keys(m.source, m.target, ["k"], "v > 100000").select("k")
+
+
 # relational parity
 
 
