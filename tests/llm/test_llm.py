@@ -240,6 +240,16 @@ def test_embedding_edges(spark):
     assert embed_dedup.near_pairs(df.where("false")).count() == 0 and embed_dedup.near_pairs(df, 1.0).count() == 1
 
 
+def test_pairs_within_each_length_of_vectors(spark):
+    g = np.random.default_rng(4)
+    rows = [(i, g.standard_normal(12).tolist()) for i in range(30)] + [(100 + i, g.standard_normal(5).tolist()) for i in range(9)]
+    rows += [(200, rows[0][1]), (201, rows[31][1]), (202, [x * 1.01 + 0.001 for x in rows[33][1]])]
+    got = {(r.id_a, r.id_b) for r in embed_dedup.near_pairs(spark.createDataFrame(rows, "vec_id int, embedding array<double>"), 0.95).collect()}
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in rows}
+    want = {(a, b) for a in unit for b in unit if a < b and len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.95}
+    assert got == want and {(0, 200), (101, 201), (103, 202)} <= got
+
+
 # 4 MinHash
 
 

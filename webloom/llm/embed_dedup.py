@@ -10,6 +10,7 @@ the whole vectors, so the result is exact.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import product
 
 import numpy as np
@@ -71,16 +72,21 @@ def near_pairs(vectors: DataFrame, min_cosine: float = 0.95, id_col: str = "vec_
     """(id_a, id_b, cosine) of all pairs id_a < id_b whose cosine is at least
     ``min_cosine``, each once, with the cosine rounded to 6 places.
 
-    Null ids, null, empty and zero vectors, vectors with a null or non-finite entry and
-    vectors of another length than the most frequent one have no partner. Rows that
+    Null ids, null, empty and zero vectors and vectors with a null or non-finite entry have
+    no partner; vectors of different lengths aren't compared with each other. Rows that
     repeat an id with another vector are each a vector of that id; a pair's cosine is
     then the greatest one. Other columns are ignored.
     """
     raw = pick(vectors, id=id_col, v=vector_col).select("id", F.col("v").cast("array<double>").alias("v")).where("id is not null and v is not null and size(v) > 0 and forall(v, x -> x is not null and not isnan(x) and abs(x) < 1e300) and exists(v, x -> x <> 0)")
-    usual = raw.groupBy(F.size("v").alias("dims")).count().orderBy(F.desc("count"), "dims").first()
-    if usual is None:
+    lengths = [r.dims for r in raw.select(F.size("v").alias("dims")).distinct().orderBy("dims").collect()]
+    if not lengths:
         return raw.select(F.col("id").alias("id_a"), F.col("id").alias("id_b"), F.lit(0.0).alias("cosine")).where("false")
-    dims = usual.dims
+    pairs = reduce(DataFrame.union, (_pairs(raw, dims, min_cosine, blocks, grid) for dims in lengths))
+    return pairs.groupBy("id_a", "id_b").agg(F.round(F.max("cosine"), 6).alias("cosine"))
+
+
+def _pairs(raw: DataFrame, dims: int, min_cosine: float, blocks: int, grid: int) -> DataFrame:
+    """Pairs among the vectors of one length; a pair of ids may occur more than once."""
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     unit = raw.where(F.size("v") == dims).select("id", F.transform("v", lambda x: x / norm).alias("v"))
     # equal vectors are one node, so copies don't multiply the candidates
@@ -107,5 +113,4 @@ def near_pairs(vectors: DataFrame, min_cosine: float = 0.95, id_col: str = "vec_
     within = a.join(b, F.col("node") == F.col("other")).select("ia", "ib", F.lit(1.0).alias("cosine"))
     if min_cosine > 1:
         within = within.where("false")
-    pairs = across.union(within).where("ia <> ib").select(F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b"), "cosine")
-    return pairs.groupBy("id_a", "id_b").agg(F.round(F.max("cosine"), 6).alias("cosine"))
+    return across.union(within).where("ia <> ib").select(F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b"), "cosine")
