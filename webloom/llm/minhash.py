@@ -6,7 +6,9 @@ draw per attempt), which keeps the collision probability equal to the Jaccard si
 Bands of rows make buckets; in a bucket every document gets one edge, to the least
 document, so a bucket of n documents has n - 1 edges. Edges are verified on the whole
 signatures; documents that share a bucket but not its centre get further stars, and what
-two stars leave is compared pair by pair, so nothing is capped.
+two stars leave is compared pair by pair. One that isn't like a centre isn't compared in
+that bucket with those that are, so a pair near the threshold can be missed if all buckets
+it shares part it so.
 """
 
 from __future__ import annotations
