@@ -320,26 +320,37 @@ def test_components(spark):
     assert all(got.get(x, x) == find(x) for x in parent)
 
 
-def test_second_and_third_stars(spark, monkeypatch):
-    """Documents that share a bucket with a centre they aren't like still find each other."""
-    monkeypatch.setattr(minhash, "_sign", None)
-    sig = lambda *v: np.array(v, np.uint16).tobytes()
-    rows = [(1, sig(1, 1, 1, 1), [5]), (2, sig(2, 2, 2, 2), [5]), (3, sig(2, 2, 2, 3), [5]), (4, sig(4, 4, 4, 4), [5]), (5, sig(4, 4, 4, 5), [5]), (6, sig(6, 6, 6, 6), [5]), (7, sig(6, 6, 6, 7), [5])]
-    df = spark.createDataFrame(rows, "id bigint, sig binary, keys array<bigint>")
-    monkeypatch.setattr(minhash, "pick", lambda *a, **k: _Fixed(df))
-    got = {r.doc_id: r.kept_id for r in minhash.near_duplicates(df, bins=4, bands=1).collect()}
-    assert got == {3: 2, 5: 4, 7: 6}
-
-
-class _Fixed:
-    def __init__(self, df):
-        self.df, self.schema = df, df.schema
-
-    def where(self, *_):
-        return self
-
-    def mapInArrow(self, *_):
-        return self.df
+def test_stars_until_nothing_is_left(spark):
+    """Documents that share a bucket with centres they aren't like still find each other."""
+    rnd = random.Random(12)
+    sig, rows = [], []
+    for i in range(60):  # pairs that are alike, all in one bucket, all with a shared passage
+        one = [7] * 5 + [rnd.randrange(60000) for _ in range(11)]
+        sig += [one, one[:12] + [rnd.randrange(60000) for _ in range(4)]]
+    for i, v in enumerate(sig):
+        rows.append((i, np.array(v, np.uint16).tobytes(), [5, 6]))
+    nodes = spark.createDataFrame(rows, "node bigint, sig binary, keys array<bigint>")
+    got = {tuple(r) for r in minhash._edges(nodes, 16, 0.5).collect()}
+    assert {(2 * i, 2 * i + 1) for i in range(60)} == got
+    # none alike, same rare tokens: every pair is looked at in the end
+    flat = [(i, np.array([i if k % 60 == i else 9 for k in range(128)], np.uint16).tobytes(), [1]) for i in range(40)]
+    got = minhash._edges(spark.createDataFrame(flat, nodes.schema), 128, 0.999).collect()
+    assert got == []
+
+
+def test_rows_that_share_an_id(spark):
+    a, b, c = (rand_words(random.Random(i), 80) for i in range(3))
+    for rows in ([(3, a), (5, a), (5, b), (9, b)], [(3, b), (5, b), (5, a), (9, a)], [(3, a), (5, a), (5, None), (5, "..."), (9, c), (9, c)]):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string")
+        first = {}
+        for r in df.where("text is not null").withColumn("h", F.xxhash64("text")).collect():
+            if re.search("[a-z]", r.text):
+                first[r.doc_id] = min(first.get(r.doc_id, (r.h, r.text)), (r.h, r.text))
+        least = {}
+        for i, (_, t) in first.items():
+            least[t] = min(least.get(t, i), i)
+        want = {(i, least[t]) for i, (_, t) in first.items() if least[t] != i}
+        assert {tuple(r) for r in minhash.near_duplicates(df).collect()} == want
 
 
 # 5 surrogates

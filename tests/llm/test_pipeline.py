@@ -56,21 +56,29 @@ def test_language(spark, steps):
 def test_near_dedup(steps):
     _, before, after = steps[1]
     had, left = rows(before), rows(after)
-    ids = Counter(r["doc_id"] for r in left)
-    assert all(n == 1 for i, n in ids.items() if i is not None) and ids[None] == sum(r["doc_id"] is None for r in had)
+    ids = Counter((r["doc_id"], r["text"]) for r in left)
+    assert all(n == 1 for n in ids.values())
 
     def shingles(t):
         h = common.words_of([t])[1].tolist()
         return {tuple(h[i : i + 3]) for i in range(max(1, len(h) - 2))} if h else set()
 
-    s = {r["doc_id"]: shingles(r["text"]) for r in had if r["doc_id"] is not None}
+    s = {(r["doc_id"], r["text"]): shingles(r["text"]) for r in had}
     jac = lambda a, b: len(s[a] & s[b]) / max(1, len(s[a] | s[b]))
-    stay = sorted(i for i in ids if i is not None)
+    stay = list(ids)
     assert not any(jac(a, b) >= 0.65 for k, a in enumerate(stay) for b in stay[:k])
     gone = set(s) - set(stay)
     assert gone and all(max(jac(g, o) for o in s if o != g) >= 0.35 for g in gone)
 
 
+def test_texts_of_shared_ids_have_a_kept_copy(spark):
+    words = [" ".join(f"{w}{i}" for i in range(60)) for w in ("red", "blue", "green")]
+    rows = [(3, words[0]), (5, words[0]), (5, words[1]), (9, words[1]), (9, words[2]), (None, words[2]), (None, words[2]), (7, None), (8, ""), (8, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint").withColumns({"row": F.lit(1), "h": F.lit(1)})
+    got = [(r.doc_id, r.text) for r in cp.drop_near_duplicates(spark, docs, SF).collect()]
+    assert sorted(got, key=str) == sorted([(3, words[0]), (5, words[1]), (9, words[2]), (7, None), (8, "")], key=str)
+
+
 def test_personal_data(steps):
     _, before, after = steps[2]
     own = pii.Surrogates(KEY)

@@ -5,25 +5,29 @@ least hash. Empty bins borrow from a non-empty one by optimal densification (a 2
 draw per attempt), which keeps the collision probability equal to the Jaccard similarity.
 Bands of rows make buckets; in a bucket every document gets one edge, to the least
 document, so a bucket of n documents has n - 1 edges. Edges are verified on the whole
-signatures; documents that share a bucket but not its centre get further stars, and what
-two stars leave is compared pair by pair. One that isn't like a centre isn't compared in
-that bucket with those that are, so a pair near the threshold can be missed if all buckets
-it shares part it so.
+signatures. Documents that share a bucket but aren't like its centre get a second star, and
+what that leaves meets again in the buckets of its rarest signature entries, where stars
+with more and more centres go on until nothing is left. One that isn't like a centre isn't
+compared in that bucket with those that are, so a pair near the threshold can be missed if
+all buckets it shares part it so.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import batches, mix64, pick, words_of, written
 
 BINS, BANDS, SHINGLE, THRESHOLD = 128, 32, 3, 0.5
+#: Rows of an id and a hash that may be broadcast, and hash classes of signature entries.
+SMALL, CLASSES = 200_000, 1 << 18
 
 
 def signatures(texts: list[str | None], bins: int = BINS, shingle: int = SHINGLE, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
@@ -69,15 +73,17 @@ def _sign(rows: Iterator[pa.RecordBatch], bins: int, bands: int, shingle: int) -
             for k in range(width):
                 key = mix64(key * np.uint64(0x100000001B3) + sig[:, k::width].astype(np.uint64) + np.uint64(1))
             key = mix64(key + np.arange(bands, dtype=np.uint64)[None, :] * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
-        ids, sig, key = batch.column("id").filter(pa.array(some)), sig[some].astype(np.uint16), key[some]
+        ids, h = (batch.column(c).filter(pa.array(some)) for c in ("id", "h"))
+        sig, key = sig[some].astype(np.uint16), key[some]
         raw, step = sig.tobytes(), bins * 2
         yield pa.RecordBatch.from_arrays(
             [
                 ids,
+                h,
                 pa.array([raw[i * step : (i + 1) * step] for i in range(len(sig))], pa.binary()),
                 pa.ListArray.from_arrays(pa.array(np.arange(0, key.size + 1, bands), pa.int32()), pa.array(key.reshape(-1))),
             ],
-            ["id", "sig", "keys"],
+            ["id", "h", "sig", "keys"],
         )
 
 
@@ -96,34 +102,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     which stays. A group is a connected component of verified edges.
 
     Null ids are ignored; null texts and texts without words belong to no group. Rows
-    that share an id count as one document, with the text of least hash. Texts are
-    compared whole, without case and punctuation. Other columns are ignored. The result
-    has the id's type, and no rows for an empty table.
+    that share an id count as one document, with the text of least hash among those that
+    have words. Texts are compared whole, without case and punctuation. Other columns are
+    ignored. The result has the id's type, and no rows for an empty table. A document that
+    stays never goes itself.
     """
     if bins & (bins - 1) or bins % bands:
         raise ValueError("bins must be a power of two and a multiple of bands")
-    raw = pick(docs, id=id_col, text=text_col).where("id is not null and text is not null")
-    schema = f"id {raw.schema['id'].dataType.simpleString()}, sig binary, keys array<bigint>"
+    raw = pick(docs, id=id_col, text=text_col).where("id is not null and text is not null").withColumn("h", F.xxhash64("text"))
+    schema = T.StructType([T.StructField("id", raw.schema["id"].dataType), T.StructField("h", T.LongType()), T.StructField("sig", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType()))])
     signed = raw.mapInArrow(lambda it: _sign(it, bins, bands, shingle), schema)
     # a node is a signature: a large group of exact copies is one node
-    signed = written(signed.withColumn("node", F.xxhash64("sig")), "minhash-sig")
-    rows = signed.select("node", F.explode("keys").alias("key")).repartition("key").dropDuplicates(["key", "node"])
-
-    w = Window.partitionBy("key")
-    shared = written(rows.withColumn("centre", F.min("node").over(w)).where("node > centre"), "minhash-star")
-    first = written(_verify(shared.select("centre", "node").distinct(), signed, threshold), "minhash-edge")
-    good = first.where("ok").select("centre", "node")
-    # whoever isn't like the centre of a bucket may be like others there
-    bad = first.where("not ok").select("centre", "node")
-    rest = shared.join(bad, ["centre", "node"], "left_semi").select("key", "node")
-    again = written(rest.withColumn("centre", F.min("node").over(w)).where("node > centre"), "minhash-star")
-    second = written(_verify(again.select("centre", "node").distinct().join(first.select("centre", "node"), ["centre", "node"], "left_anti"), signed, threshold), "minhash-edge")
-    known = first.union(second)
-    left = again.join(known.where("not ok").select("centre", "node"), ["centre", "node"], "left_semi").select("key", "node")
-    pairs = left.select("key", F.col("node").alias("centre")).join(left, "key").where("centre < node").select("centre", "node").distinct()
-    third = _verify(pairs.join(known.select("centre", "node"), ["centre", "node"], "left_anti"), signed, threshold)
-    edges = good.union(second.where("ok").select("centre", "node")).union(third.where("ok").select("centre", "node"))
-    parts = components(edges)
+    signed = _one_text_per_id(written(signed.withColumn("node", F.xxhash64("sig")), "minhash-sig"))
+    nodes = written(signed.select("node", "sig", "keys").dropDuplicates(["node"]), "minhash-node")
+    parts = components(_edges(nodes, bins, threshold))
 
     ids = signed.select("id", "node").join(parts, "node", "left").select("id", F.coalesce("least", "node").alias("part"))
     kept = ids.groupBy("part").agg(F.min("id").alias("kept_id"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -131,11 +123,97 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("id").alias(id_col), "kept_id")
 
 
-def _verify(pairs: DataFrame, signed: DataFrame, threshold: float) -> DataFrame:
-    ends = pairs.select(F.col("centre").alias("node")).union(pairs.select("node")).distinct()
-    sig = signed.select("node", "sig").join(ends, "node", "left_semi").dropDuplicates(["node"])
-    one = sig.select(F.col("node").alias("centre"), F.col("sig").alias("centre_sig"))
-    both = pairs.join(sig, "node").join(one, "centre")
+def _one_text_per_id(signed: DataFrame) -> DataFrame:
+    """Of rows that share an id, those with the text of least hash."""
+    twice = signed.groupBy("id").agg(F.min("h").alias("least"), F.max("h").alias("most")).where("least < most").select("id", "least")
+    twice = written(twice, "minhash-twice")
+    n = twice.count()
+    if not n:
+        return signed
+    return signed.join(F.broadcast(twice) if n <= SMALL else twice, "id", "left").where("least is null or h = least").drop("least")
+
+
+def _edges(nodes: DataFrame, bins: int, threshold: float) -> DataFrame:
+    """(centre, node): the verified edges. Two stars in each bucket of the bands; members
+    that are like neither centre meet again in the buckets of their rare tokens."""
+    rows = nodes.select(F.explode("keys").alias("key"), "node")
+    links: list[DataFrame] = []
+    for _ in range(2):
+        rows = _star(rows, nodes, threshold, 1, links)
+    if rows.isEmpty():
+        return reduce(DataFrame.union, links)
+    some = written(nodes.select("node", "sig").join(rows.select("node").distinct(), "node", "left_semi"), "minhash-rest")
+    frequency = _frequencies(some, bins)
+    prefix = bins - max(1, int(np.ceil(threshold * bins))) + 1
+    rows = some.mapInArrow(lambda it: _rare(it, bins, prefix, frequency), "key bigint, node bigint")
+    centres = 1
+    while True:
+        rows = _star(rows, some, threshold, centres, links)
+        if rows.isEmpty():
+            return reduce(DataFrame.union, links)
+        centres *= 2
+
+
+def _star(rows: DataFrame, nodes: DataFrame, threshold: float, centres: int, links: list[DataFrame]) -> DataFrame:
+    """One star for each slot of each bucket of ``rows`` (key, node): its least node in a
+    pseudo-random order is a centre and every other node of the bucket is compared with
+    it. ``links`` gets the edges; the result is what is like no centre. Centres leave."""
+    slot = F.pmod(F.xxhash64(F.lit(centres), "node"), F.lit(centres)) if centres > 1 else F.lit(0)
+    # partial aggregates: a hot bucket isn't gathered anywhere
+    each = rows.groupBy("key", slot.alias("slot")).agg(F.min("node").alias("centre"), F.max("node").alias("most"))
+    if centres == 1:
+        each = each.where("centre < most")
+    met = rows.join(each.select("key", "centre"), "key").where("node <> centre")
+    met = written(met, "minhash-star")
+    pairs = met.select(F.least("centre", "node").alias("centre"), F.greatest("centre", "node").alias("node")).distinct()
+    checked = written(_verify(pairs, nodes, threshold), "minhash-edge")
+    links.append(checked.where("ok").select("centre", "node"))
+    ends = met.select("key", "node", F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b"))
+    found = ends.join(checked.select(F.col("centre").alias("a"), F.col("node").alias("b"), "ok"), ["a", "b"])
+    rest = found.groupBy("key", "node").agg(F.max("ok").alias("ok")).where("not ok").select("key", "node")
+    if centres > 1:
+        rest = rest.join(each.select("key", F.col("centre").alias("node")), ["key", "node"], "left_anti")
+    return written(rest, "minhash-left")
+
+
+def _tokens(batch: pa.RecordBatch, bins: int) -> np.ndarray:
+    """A token is a bin with its value; each row of the result has those of a node."""
+    sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(-1, bins)
+    return mix64((np.arange(bins, dtype=np.uint64)[None, :] << np.uint64(16) | sig.astype(np.uint64)) + np.uint64(0x9E3779B97F4A7C15))
+
+
+def _frequencies(nodes: DataFrame, bins: int) -> np.ndarray:
+    """How often the tokens of each hash class occur: ``CLASSES`` numbers at any size."""
+
+    def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CLASSES, np.int64)
+        for batch in rows:
+            total += np.bincount((_tokens(batch, bins) % np.uint64(CLASSES)).astype(np.int64).ravel(), minlength=CLASSES)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["class", "n"])
+
+    t = nodes.mapInArrow(count, "class int, n bigint").groupBy("class").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(CLASSES, np.int64)
+    out[np.asarray(t.column("class"), np.int64)] = np.asarray(t.column("n"), np.int64)
+    return out
+
+
+def _rare(rows: Iterator[pa.RecordBatch], bins: int, prefix: int, frequency: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The ``prefix`` rarest tokens of each node: of two nodes that agree in enough bins
+    one at least is among the rarest of both, and a passage that many share isn't."""
+    for batch in rows:
+        if not batch.num_rows:
+            continue
+        token = _tokens(batch, bins)
+        often = frequency[(token % np.uint64(CLASSES)).astype(np.int64)]
+        order = np.lexsort((token, often), axis=1)[:, :prefix]
+        key = np.take_along_axis(token, order, axis=1).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(np.repeat(np.asarray(batch.column("node")), key.shape[1]))], ["key", "node"])
+
+
+def _verify(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    one = nodes.select(F.col("node").alias("centre"), F.col("sig").alias("centre_sig"))
+    both = pairs.join(nodes.select("node", "sig"), "node").join(one, "centre")
     return both.select("centre", "node", (_similar("sig", "centre_sig") >= threshold).alias("ok"))
 
 
