@@ -412,6 +412,71 @@ def test_found_everywhere():
         assert pii.pseudonymise(t, S) == (t, 0), t
 
 
+def test_spellings_are_one_entity():
+    new, n = pii.pseudonymise("Mr Hans Miller met HaNs Miller, HANS MILLER and hans.", S)
+    assert n == 6 and "Hans" not in new and "Miller" not in new and "HANS" not in new
+    assert {w.lower() for w in re.findall("[A-Z][A-Za-z]+", new)} == {"mr", S.name("Hans").lower(), S.name("Miller").lower()}
+
+
+def test_kinds_stay_one_to_one():
+    ibans = [f"DE{c:02d}370400440532013{k:03d}" for c in range(100) for k in range(3)]
+    assert len({S.iban(i) for i in ibans}) == 300
+    phones = [f"974{m:03d}{k:04d}" for m in range(540, 570) for k in range(60)] + [f"074{m:03d}0001" for m in range(550, 560)]
+    new = [S.phone(p) for p in phones]
+    assert len(set(new)) == len(phones) and all(a != b and (a[3:6] == "555") == (b[3:6] == "555") and (a[0] == "0") == (b[0] == "0") for a, b in zip(phones, new))
+    han = [a + b for a in pii._HAN for b in ("伟", "伟芳", "鑫")]
+    assert len({S.han(x) for x in han}) == len(han) and not any(S.han(x) == x for x in han)
+
+
+def test_found_beyond_the_lists():
+    for t, n in (("Priya Sharma", 2), ("Wei Zhang", 2), ("Olga Petrova", 2), ("李伟", 1), ("我叫李伟。", 1), ("王芳女士来了", 1), ("call 0171 2345678 now", 1), ("at 2001:db8::8a2e:370:7334.", 1), ("My name is Zorblax Quux", 2), ("FE80:0:0:0:202:B3FF:FE1E:8329", 1)):
+        new, found = pii.pseudonymise(t, S)
+        assert found == n and new != t, t
+    for t in ("at 10:30:15", "a::b", "std::vector", "::", "中文文本没有名字", "0171 23", "section 01 12345"):
+        assert pii.pseudonymise(t, S) == (t, 0), t
+
+
+def test_hostile_texts_take_linear_time():
+    import time
+
+    for t in ("x" * 1_000_000 + " a@b.example.com", "@" * 300_000, "A-" * 400_000, "a@" * 300_000, "1 " * 300_000, "Mr " + " " * 900_000, "a" * 999_000 + "@" + "b." * 500, "f:" * 300_000, "Anna Berg " * 60_000, "token=" + "Z" * 900_000, "a.b@c.example.com " * 30_000):
+        began = time.process_time()
+        pii.entities(t)
+        assert time.process_time() - began < 3, t[:20]
+
+
+def test_pii_frame_against_planted_entities(spark):
+    """Entities of known place and kind: the text around them stays, spellings of one have
+    one surrogate in all documents, different ones have different surrogates."""
+    rnd = random.Random(31)
+    digits = lambda n: "".join(str(rnd.randrange(10)) for _ in range(n))
+    make = {
+        "email": lambda: f"{rand_words(rnd, 1)}{digits(2)}@mail{digits(1)}.example.com",
+        "phone": lambda: f"+1 ({rnd.randrange(200, 999)}) 555-{digits(4)}",
+        "ip": lambda: f"{rnd.randrange(11, 99)}.{rnd.randrange(256)}.{rnd.randrange(256)}.{rnd.randrange(256)}",
+        "ssn": lambda: f"{digits(3)}-{digits(2)}-{digits(4)}",
+        "card": lambda: f"4{digits(15)}",
+        "secret": lambda: f"ghp_{'x7' + ''.join(rnd.choice('abcdefXYZ0123') for _ in range(36))}",
+    }
+    shape = {"email": r"[a-z]+\d\d@mail\d\.example\.com|[a-z]+\d\d@[a-z]{4}\d\.example\.com", "phone": r"\+1 \(\d{3}\) 555-\d{4}", "ip": r"(?:\d{1,3}\.){3}\d{1,3}", "ssn": r"\d{3}-\d\d-\d{4}", "card": r"\d{16}", "secret": r"[a-z]{3}_\w{38}"}
+    pool = [(k, make[k]()) for k in make for _ in range(25)]
+    docs, plan = [], {}
+    for i in range(60):
+        held = [rnd.choice(pool) for _ in range(rnd.randint(0, 6))]
+        gaps = [" " + rand_words(rnd, rnd.randint(2, 9)) + " " for _ in range(len(held) + 1)]
+        docs.append((i, "".join(x for g, (_, e) in zip(gaps, held) for x in (g, e)) + gaps[-1], "a"))
+        plan[i] = gaps, held
+    given, back = {}, {}
+    for r in pii.with_surrogates(docs_of(spark, docs).withColumns(clash()), b"key").collect():
+        gaps, held = plan[r.doc_id]
+        assert r.n_entities == len(held)
+        m = re.fullmatch("".join(re.escape(g) + f"({shape[k]})" for g, (k, _) in zip(gaps, held)) + re.escape(gaps[-1]), r.text)
+        assert m, (r.text, held)
+        for new, (k, old) in zip(m.groups(), held):
+            assert new != old and given.setdefault((k, old), new) == new and back.setdefault((k, new), old) == old
+    assert len(given) > 100
+
+
 def test_pii_frame(spark):
     df = odd(spark).union(docs_of(spark, [(5, "mail me at a.b@c.example.com", "a")]).withColumns(clash()))
     got = pii.with_surrogates(df, b"key").collect()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from webloom.llm import common, langid, linear, mixing, packing, pii
-from webloom.llm.queries import KEY, good_ids
+from webloom.llm.queries import good_ids
 
 SF = "/root/testdata/sf0.001"
 
@@ -79,9 +79,9 @@ def test_texts_of_shared_ids_have_a_kept_copy(spark):
     assert sorted(got, key=str) == sorted([(3, words[0]), (5, words[1]), (9, words[2]), (7, None), (8, "")], key=str)
 
 
-def test_personal_data(steps):
+def test_personal_data(spark, steps):
     _, before, after = steps[2]
-    own = pii.Surrogates(KEY)
+    own = pii.Surrogates(pii.session_key(spark))
     want = Counter()
     for r in rows(before):
         t = pii.pseudonymise(r["text"], own)[0]

@@ -4,22 +4,28 @@ Every surrogate is a keyed permutation of the entities of one format: digits bec
 vowels vowels, a name of a gender and script another of the same. Permutations are
 one-to-one, so distinct entities stay distinct and an entity has the same surrogate in
 every document, without a table of entities. They have no fixed points, so nothing stays
-as it was. A check of each document confirms both.
+as it was. Spellings of one entity that differ in case, or in the separators of a number,
+are one entity. A check of each document confirms both; where two entities had the same
+surrogate all the same, the later one's is permuted on.
+
+Every pattern reads a text in linear time, whatever stands in it.
 """
 
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
+import secrets
 from collections.abc import Callable, Iterator
 from math import isqrt
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pick
+from .common import once, pick
 
 _NAMES = {
     ("latin", "m"): "James John Robert Michael William David Richard Joseph Thomas Charles Daniel Matthew Anthony Mark Paul Steven Andrew George Kevin Brian Edward Peter Hans Klaus Jürgen Wolfgang Stefan Andreas Matthias Uwe Dieter Heinz Jean Pierre Michel Philippe Alain Nicolas Laurent Olivier Christophe François Luc Antoine José Antonio Manuel Francisco Juan Javier Carlos Jesús Miguel Alejandro Rafael Pablo Luis Diego",
@@ -28,29 +34,66 @@ _NAMES = {
     ("cyrillic", "f"): "Анна Мария Елена Ольга Наталья Татьяна Ирина Светлана Екатерина Людмила Юлия Галина Надежда Вера Любовь Дарья",
     ("greek", "m"): "Γιώργος Νίκος Δημήτρης Κώστας Γιάννης Παναγιώτης Βασίλης Χρήστος Αντώνης Μιχάλης",
     ("greek", "f"): "Μαρία Ελένη Αικατερίνη Βασιλική Σοφία Αγγελική Γεωργία Δήμητρα Κωνσταντίνα Ιωάννα",
+    ("english", "m"): "Christopher Brandon Justin Ryan Jason Jacob Nicholas Jonathan Stephen Benjamin Samuel Gregory Patrick Alexander Dennis Tyler Aaron Henry Douglas Nathan Zachary Kyle Walter Ethan Jeremy Harold Keith",
+    ("english", "f"): "Kimberly Amy Angela Melissa Brenda Rebecca Stephanie Laura Sharon Cynthia Kathleen Shirley Debra Rachel Carolyn Janet Maria Heather Diane Julie Victoria Kelly Lauren Olivia Sophia Hannah Julia",
+    ("indian", "m"): "Aarav Arjun Rahul Rohan Amit Vikram Sanjay Rajesh Suresh Ravi Anil Vijay Ajay Deepak Manoj Ashok Karan Nikhil Arun Harish",
+    ("indian", "f"): "Priya Anjali Pooja Neha Kavita Sunita Lakshmi Divya Shreya Deepa Meera Nisha Rekha Swati Aishwarya Sneha Geeta Radha Usha",
+    ("chinese", "any"): "Wei Xiaoming Yifan Haoran Zihan Jianguo Guoqiang Meiling Xiaoli Yuxin Jiahui Zixuan Junjie Zhiyong Weimin",
+    ("slavic", "m"): "Ivan Dmitri Dmitry Sergei Sergey Alexei Vladimir Nikolai Mikhail Yuri Igor Oleg Boris Andrei Pavel Viktor Marek Piotr Tomasz Krzysztof",
+    ("slavic", "f"): "Olga Natalia Tatiana Irina Svetlana Ekaterina Ludmila Yulia Elena Oksana Agnieszka Katarzyna Magdalena Zofia Anastasia Galina",
+    ("arabic", "m"): "Mohammed Muhammad Ahmed Ali Hassan Hussein Omar Khalid Yusuf Ibrahim Mustafa Abdullah Karim Tariq Samir Mahmoud",
+    ("arabic", "f"): "Fatima Aisha Zainab Khadija Maryam Layla Amina Salma Yasmin Hanan Samira",
+    ("turkish", "m"): "Mehmet Emre Murat Burak Kemal Serkan",
+    ("turkish", "f"): "Ayşe Zeynep Elif Emine Fatma Merve",
+    ("japanese", "m"): "Hiroshi Takashi Kenji Haruto Satoshi Akira Yuto Daisuke",
+    ("japanese", "f"): "Sakura Yuko Haruka Keiko Naoko Akiko Misaki",
+    ("korean", "any"): "Minjun Seojun Jihoon Jiwoo Soojin Minji Jimin Hyunwoo",
 }
 _LISTS = {k: v.split() for k, v in _NAMES.items()}
 _KIND = {n.casefold(): (k, i) for k, names in _LISTS.items() for i, n in enumerate(names)}
 _TITLE = r"(?:Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Hr|Fr|Monsieur|Madame|Mme|Mlle|Señora?|Sra?|Doña|Don|Г-н|Г-жа|Κος|Κα)\.?"
-_CAP = r"[^\W\d_a-zß-öø-ÿа-яё][^\W\d_]*(?:[-'’][^\W\d_]+)*"
+_CUE = r"(?:[Mm]y name is|[Nn]ame ?[:=]|[Ss]igned by|[Cc]ontact(?: person)? ?:|[Jj]e m['’]appelle|[Mm]ein Name ist|[Ii]ch heiße|[Mm]e llamo|[Mm]i nombre es|[Мм]еня зовут|[Мμ]ε λένε)"
+#: A name is no longer than 40 letters a part; the bounds keep the search linear.
+_CAP = r"[^\W\d_a-zß-öø-ÿа-яё][^\W\d_]{0,39}(?:[-'’][^\W\d_]{1,40}){0,3}(?![^\W\d_])"
+_HAN = "王李张刘陈杨赵黄周吴徐孙胡朱高林何郭马罗梁宋郑谢韩唐冯于董萧程曹袁邓许傅沈曾彭吕苏卢蒋蔡贾丁魏薛叶阎余潘杜戴夏钟汪田任姜范方石姚谭廖邹熊金陆郝孔白崔康毛邱秦江史顾侯邵孟龙万段雷钱汤尹黎易常武乔贺赖龚文"
+_HAN_GIVEN = "伟芳娜敏静丽强磊军洋勇艳杰娟涛明超秀霞平刚桂英华玉兰红建国志文海波宇轩涵梓浩然欣怡佳琪雪梅"
+_CJK = "぀-ヿ㐀-鿿"
 _PATTERNS: list[tuple[str, re.Pattern, Callable[[str], bool]]] = [
-    ("secret", re.compile(r"(?i)\b(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key)\b(\s*[=:]\s*[\"']?)([A-Za-z0-9+/_\-]{8,})"), lambda t: "=" in t or ":" in t),
+    ("secret", re.compile(r"(?i)\b(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key)\b(\s{0,8}[=:]\s{0,8}[\"']?)([A-Za-z0-9+/_\-]{8,})"), lambda t: "=" in t or ":" in t),
     ("secret", re.compile(r"\b()((?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|(?=[0-9]*[a-fA-F])[0-9a-f]{32,}|(?=[0-9]*[A-F])[0-9A-F]{32,})\b"), lambda t: True),
-    ("email", re.compile(r"()([^\W_](?:[\w.%+\-]*[\w%+\-])?@(?:[^\W_](?:[\w\-]*[^\W_])?\.)+[^\W\d_]{2,})"), lambda t: "@" in t),
     ("iban", re.compile(r"\b()([A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)\b"), lambda t: True),
-    ("phone", re.compile(r"()((?<![\w+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}(?!\d)|(?<![\w.])\(\d{3}\) ?\d{3}[ .\-]\d{4}(?!\d)|(?<![\w.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-]))"), lambda t: True),
+    ("ip6", re.compile(r"()(?<![\w:.])([0-9A-Fa-f:]{2,39})(?![\w:])"), lambda t: ":" in t),
+    ("phone", re.compile(r"()((?<![\w+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}(?!\d)|(?<![\w.])\(\d{3}\) ?\d{3}[ .\-]\d{4}(?!\d)|(?<![\w.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])|(?<![\w.,+\-/:])0\d{2,4}[ /\-]\d{5,8}(?![\w\-]|[.,]\d))"), lambda t: True),
     ("ssn", re.compile(r"()(?<![\w\-])(\d{3}-\d{2}-\d{4})(?![\w\-])"), lambda t: "-" in t),
     ("card", re.compile(r"()(?<!\d)(?<!\d\.)(\d(?:[ \-]?\d){12,18})(?!\d)"), lambda t: True),
     ("ip", re.compile(r"()(?<![\d.])((?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?![\d]|\.\d)"), lambda t: "." in t),
+    ("han", re.compile(rf"()(?:(?<![{_CJK}])|(?<=我叫)|(?<=名叫)|(?<=姓名)|(?<=联系人))([{_HAN}][一-鿿]{{1,2}}?)(?=先生|女士|小姐|老师|教授|医生|さん|様|氏|君|(?![{_CJK}]))"), lambda t: True),
 ]
+_LOCAL = re.compile(r"[^\W_](?:[\w.%+\-]*[\w%+\-])?\Z")
+_DOMAIN = re.compile(r"(?:[^\W_](?:[\w\-]{0,61}[^\W_])?\.)+[^\W\d_]{2,}")
 _DIGIT = re.compile(r"\d")
-_PERSON = re.compile(rf"(?:\b({_TITLE})\s+)?\b({_CAP}(?:[ \t]+{_CAP}){{0,3}})")
-_PAIR = re.compile(rf"\b{_CAP}[ \t]+{_CAP}|\b{_TITLE}\s+{_CAP}")
+_PERSON = re.compile(rf"(?:\b({_TITLE}|{_CUE})\s+)?\b({_CAP}(?:[ \t]+{_CAP}){{0,3}})")
+_PAIR = re.compile(rf"\b{_CAP}[ \t]+{_CAP}|\b(?:{_TITLE}|{_CUE})\s+{_CAP}")
+_WORD = re.compile(r"[^\W\d_]+(?:[-'’][^\W\d_]+)*")
 
 #: Letters that may take each other's place, by script.
-_GROUPS = ["0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "áéíóúàèìòùâêîôûäëïöü", "ñç", "аеиоуыэюяё", "бвгджзйклмнпрстфхцчшщ", "αεηιουω", "άέήίόύώ", "βγδζθκλμνξπρστφχψ"]
+_GROUPS = ["0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "áéíóúàèìòùâêîôûäëïöü", "ñç", "åøæœěůőűęąăāēīōūı", "ßłšžčćřňşğźżśńđþð", "аеиоуыэюяё", "бвгджзйклмнпрстфхцчшщ", "αεηιουω", "άέήίόύώ", "βγδζθκλμνξπρστφχψ"]
 _GROUP = {c: g for g in _GROUPS for c in g}
 _HEX = "0123456789abcdef"
+_EXAMPLE = re.compile(r"(?i)(?:^|\.)example\.(?:com|net|org)$")
+
+
+def _hexadecimal(text: str) -> bool:
+    return all(c in _HEX for c in text.lower()) and (text == text.lower() or text == text.upper())
+
+
+def canonical(kind: str, text: str) -> str:
+    """What all spellings of an entity have in common."""
+    if kind in ("phone", "card", "ssn"):
+        return text[:1].strip("(0123456789") + "".join(_DIGIT.findall(text))
+    if kind == "ip6":
+        return ipaddress.IPv6Address(text).exploded
+    return text.replace(" ", "") if kind == "iban" else text.lower()
 
 
 class Surrogates:
@@ -116,19 +159,43 @@ class Surrogates:
     def email(self, text: str) -> str:
         local, _, domain = text.rpartition("@")
         labels = domain.split(".")
-        fixed = 2 if re.search(r"(?i)(?:^|\.)example\.(?:com|net|org)$", domain) else 1
+        fixed = 2 if _EXAMPLE.search(domain) else 1
         host = ".".join(labels[:-fixed])
-        return self.recode("local", local) + "@" + ".".join(([self.recode("domain", host)] if host else []) + labels[-fixed:])
+        new = self.recode("domain", host) if host else ""
+        # a name that isn't of the example domains doesn't become one
+        while host and fixed == 1 and _EXAMPLE.search(f"{new}.{labels[-1]}"):
+            new = self.recode("domain", new)
+        return self.recode("local", local) + "@" + ".".join(([new] if host else []) + labels[-fixed:])
+
+    def _number(self, tweak: str, digits: str) -> str:
+        """A leading zero stays and no other digit becomes one."""
+        if not digits:
+            return digits
+        if digits[0] == "0":
+            n = 10 ** (len(digits) - 1)
+            return "0" + (f"{self.permute(f'{tweak}|0|{len(digits)}', n, int(digits)):0{len(digits) - 1}d}" if n > 1 else "")
+        low = 10 ** (len(digits) - 1)
+        return str(low + self.permute(f"{tweak}|{len(digits)}", 9 * low, int(digits) - low))
 
     def phone(self, text: str) -> str:
-        d = _DIGIT.findall(text)
+        """The country stays; so does a middle of 555, which no other number gets."""
+        d = "".join(_DIGIT.findall(text))
         keep = 0 if not text.startswith("+") else 1 if d[0] in "17" else 2
-        if len(d) - keep == 10 and d[keep + 3 : keep + 6] == ["5", "5", "5"]:
-            head, tail = d[keep : keep + 3], d[keep + 6 :]
-            new = self.recode(f"phone555|{''.join(d[:keep])}", "".join(head + tail))
-            fresh = iter([*d[:keep], *new[:3], "5", "5", "5", *new[3:]])
-            return _DIGIT.sub(lambda m: next(fresh), text)
-        return self._digits("phone", text, keep)
+        head, rest = d[:keep], d[keep:]
+        if len(rest) != 10:
+            new = self._number(f"phone|{head}", rest)
+        elif rest[3:6] == "555":
+            new = self._number(f"phone555|{head}", rest[:3] + rest[6:])
+            new = new[:3] + "555" + new[3:]
+        else:
+            low, n = (0, 100) if rest[0] == "0" else (100, 900)
+            mid = int(rest[3:6]) - (rest[3:6] > "555")
+            x = ((int(rest[:3]) - low) * 999 + mid) * 10000 + int(rest[6:])
+            x, last = divmod(self.permute(f"phone10|{head}|{low}", n * 9990000, x), 10000)
+            first, mid = divmod(x, 999)
+            new = f"{first + low:03d}{mid + (mid >= 555):03d}{last:04d}"
+        fresh = iter(head + new)
+        return _DIGIT.sub(lambda m: next(fresh), text)
 
     def ssn(self, text: str) -> str:
         return self._digits("ssn", text, 0)
@@ -150,9 +217,9 @@ class Surrogates:
         flat = text.replace(" ", "")
         rest = self.recode(f"iban|{flat[:2]}", flat[4:])
         number = lambda s: int("".join(str(int(c, 36)) for c in s))
-        check = flat[2:4]
-        if number(flat[4:] + flat[:4]) % 97 == 1:
-            check = f"{98 - number(rest + flat[:2] + '00') % 97:02d}"
+        right = lambda part: 98 - number(part + flat[:2] + "00") % 97
+        # as far from the right check digits as before, so right ones stay right
+        check = f"{(right(rest) + int(flat[2:4]) - right(flat[4:])) % 100:02d}"
         new = iter(flat[:2] + check + rest)
         return "".join(c if c == " " else next(new) for c in text)
 
@@ -170,9 +237,34 @@ class Surrogates:
                 x = self.permute("ip", 1 << 32, x)
         return ".".join(str(x >> s & 255) for s in (24, 16, 8, 0))
 
+    def ip6(self, text: str) -> str:
+        """The first 16 bits stay."""
+        x = int(ipaddress.IPv6Address(text))
+        new = str(ipaddress.IPv6Address(x >> 112 << 112 | self.permute("ip6", 1 << 112, x & (1 << 112) - 1)))
+        return new.upper() if text != text.lower() else new
+
     def secret(self, text: str) -> str:
-        hexa = all(c in _HEX for c in text.lower()) and (text == text.lower() or text == text.upper())
-        return self.recode("hex" if hexa else "secret", text, _HEX if hexa else None)
+        if _hexadecimal(text):
+            return self.recode("hex", text, _HEX)
+        new = self.recode("secret", text)
+        while _hexadecimal(new):
+            new = self.recode("secret", new)
+        return new
+
+    def han(self, text: str) -> str:
+        """The surname becomes another; usual characters of given names do likewise."""
+        given = [_HAN_GIVEN.find(c) for c in text[1:]]
+        value, n = 0, 1
+        for g in given:
+            if g >= 0:
+                value, n = value * len(_HAN_GIVEN) + g, n * len(_HAN_GIVEN)
+        value, out = self.permute(f"han|{''.join(' ' if g >= 0 else c for g, c in zip(given, text[1:]))}", n, value), []
+        for g, c in zip(reversed(given), reversed(text[1:])):
+            if g >= 0:
+                value, i = divmod(value, len(_HAN_GIVEN))
+                c = _HAN_GIVEN[i]
+            out.append(c)
+        return _HAN[self.permute("han surname", len(_HAN), _HAN.index(text[0]))] + "".join(reversed(out))
 
     def first_name(self, text: str) -> str:
         kind, i = _KIND[text.casefold()]
@@ -182,7 +274,12 @@ class Surrogates:
 
     def name(self, text: str) -> str:
         """A given name becomes one of its gender and script, a surname is recoded."""
-        return self.first_name(text) if text.casefold() in _KIND else self.recode("surname", text)
+        if text.casefold() in _KIND:
+            return self.first_name(text)
+        new = self.recode("surname", text)
+        while new.casefold() in _KIND:  # no surname becomes a given name of the lists
+            new = self.recode("surname", new)
+        return new
 
     def of(self, kind: str, text: str) -> str:
         new = self.known.get((kind, text))
@@ -194,20 +291,50 @@ class Surrogates:
         return new
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Around each @: at most 64 characters before it and 255 after it are looked at."""
+    at, before = text.find("@"), 0
+    while at >= 0:
+        low = max(before, at - 64)
+        local = _LOCAL.search(text, max(low, text.rfind(" ", low, at) + 1), at)
+        domain = local and _DOMAIN.match(text, at + 1, at + 256)
+        if domain:
+            yield local.start(), domain.end()
+        before = at + 1
+        at = text.find("@", domain.end() if domain else at + 1)
+
+
+def _address(text: str) -> bool:
+    if text.count(":") < 2 or _DIGIT.search(text) is None:
+        return False
+    try:
+        return len(text) > 4 and not ipaddress.IPv6Address(text).is_unspecified
+    except ValueError:
+        return False
+
+
 def entities(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the entities, in order, not overlapping. Earlier kinds of the
     list of patterns win. A given name counts as a person if a surname or title is beside
     it; the parts of a person found once are persons wherever they stand in the text."""
     found: list[tuple[int, int, str]] = []
+    taken = bytearray(len(text))
+
+    def take(a: int, b: int, kind: str) -> None:
+        if taken.find(1, a, b) < 0:
+            taken[a:b] = b"\1" * (b - a)
+            found.append((a, b, kind))
+
     digits = _DIGIT.search(text)
-    taken: list[tuple[int, int]] = []
+    han = not text.isascii()
     for kind, pattern, worth in _PATTERNS:
-        if (digits or kind in ("secret", "email")) and worth(text):
+        if (digits or kind == "secret" or kind == "han" and han) and worth(text):
             for m in pattern.finditer(text):
-                a, b = m.span(2)
-                if not any(a < y and x < b for x, y in taken):
-                    taken.append((a, b))
-                    found.append((a, b, kind))
+                if kind != "ip6" or _address(m[2]):
+                    take(*m.span(2), kind)
+        if kind == "secret":
+            for a, b in _emails(text):
+                take(a, b, "email")
     parts: set[str] = set()
     if _PAIR.search(text):
         for m in _PERSON.finditer(text):
@@ -216,9 +343,9 @@ def entities(text: str) -> list[tuple[int, int, str]]:
             if (m[1] or len(words) > 1) and (given or m[1]) and (m[1] or len(given) < len(words) and words[0].casefold() in _KIND):
                 parts.update(w.casefold() for w in words)
     if parts:
-        for m in re.finditer(r"[^\W\d_]+(?:[-'’][^\W\d_]+)*", text):
-            if m[0][0] != m[0][0].lower() and m[0].casefold() in parts and not any(m.start() < y and x < m.end() for x, y in taken):
-                found.append((*m.span(), "name"))
+        for m in _WORD.finditer(text):
+            if m[0][0] != m[0][0].lower() and m[0].casefold() in parts:
+                take(*m.span(), "name")
     return sorted(found)
 
 
@@ -229,17 +356,31 @@ def pseudonymise(text: str | None, surrogates: Surrogates) -> tuple[str | None,
     spans = entities(text)
     if not spans:
         return text, 0
-    out, at, seen = [], 0, {}
+    out, at, owner = [], 0, {}
     for a, b, kind in spans:
         old = text[a:b]
-        new = surrogates.of(kind, old)
-        if seen.setdefault((kind, new), old) != old:
-            raise ValueError(f"two entities of kind {kind} have one surrogate")
+        new, who = surrogates.of(kind, old), canonical(kind, old)
+        tries = 0
+        while owner.setdefault((kind, canonical(kind, new)), who) != who and tries < 100:
+            new, tries = surrogates.of(kind, new), tries + 1
         out += [text[at:a], new]
         at = b
     return "".join([*out, text[at:]]), len(spans)
 
 
+_OWN_KEYS: dict[str, bytes] = {}
+
+
+def session_key(spark: SparkSession) -> bytes:
+    """The secret ``webloom.pii_key`` of the session's configuration. Where it is unset the
+    application draws one for itself, so that nobody can reverse its surrogates; the next
+    one then has others."""
+    named = spark.conf.get("webloom.pii_key", None)
+    if named:
+        return named.encode()
+    return _OWN_KEYS.setdefault(spark.sparkContext.applicationId, secrets.token_bytes(32))
+
+
 RESULT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_entities", T.LongType())])
 
 
@@ -253,7 +394,7 @@ def surrogate_text(text: Column | str, key: bytes) -> Column:
         for texts in parts:
             yield pd.DataFrame([pseudonymise(t if isinstance(t, str) else None, own) for t in texts], columns=RESULT.names).astype({"n_entities": "int64"})
 
-    return replace(F.col(text) if isinstance(text, str) else text)
+    return once(replace)(F.col(text) if isinstance(text, str) else text)
 
 
 def with_surrogates(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from . import compression, embed_dedup, hmm, langid, minhash, mixing, packing, pii, toxicity, url_reputation
 from .common import load
 
-#: Known to whoever runs the pipeline; an argument of every function that uses it.
-KEY = b"webloom demonstration key"
 MIN_COSINE = 0.95
 MIN_BOUND = 0.8
 
@@ -39,7 +37,7 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.with_surrogates(load(spark, sf_dir, "documents"), KEY)
+    return pii.with_surrogates(load(spark, sf_dir, "documents"), pii.session_key(spark))
 
 
 def op6_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
