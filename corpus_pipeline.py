@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from webloom.llm import langid, minhash, mixing, packing, pii
 from webloom.llm.common import bound_batches, load, written
-from webloom.llm.queries import KEY, good_ids
+from webloom.llm.queries import good_ids
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -48,7 +48,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     Every row stays; null and empty texts stay as they are, repeated rows are treated alike
     and an empty table gives no rows."""
     bound_batches(spark)
-    docs = docs.select(*COLUMNS).withColumn("s", pii.surrogate_text("text", KEY))
+    docs = docs.select(*COLUMNS).withColumn("s", pii.surrogate_text("text", pii.session_key(spark)))
     return docs.select("doc_id", F.col("s.text").alias("text"), "lang", "source", F.length("s.text").cast("long").alias("n_chars"))
 
 
