@@ -85,6 +85,12 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{c}`").alias(name) for name, c in columns.items()))
 
 
+def once(udf):
+    """A UDF that a filter on its result doesn't evaluate a second time: what is taken for
+    deterministic is copied into the filter that Spark pushes below it."""
+    return udf.asNondeterministic()
+
+
 def content_key(*cols: str | Column, seed: int = 0) -> Column:
     """Deterministic pseudo-random order key."""
     return F.xxhash64(F.lit(seed), *(F.col(c) if isinstance(c, str) else c for c in cols))

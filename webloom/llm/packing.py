@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import content_key, pick, written
+from .common import content_key, once, pick, written
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -87,7 +87,7 @@ def token_count(text: Column | str, tokenizer: str = TOKENIZER) -> Column:
         for texts in parts:
             yield pd.Series([counter.count(t) for t in texts], dtype="int64")
 
-    return count(F.col(text) if isinstance(text, str) else text)
+    return once(count)(F.col(text) if isinstance(text, str) else text)
 
 
 def pack(docs: DataFrame, targets: Mapping[str, float] | None = None, window: int = 4096, packet: int = 64, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", temperature: float = 0.7, tokenizer: str = TOKENIZER, seed: int = 0) -> DataFrame:
