@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pick
+from .common import once, pick
 
 #: (bytes below which the band holds, least ratio, greatest ratio). Short texts hardly
 #: compress, so they have no lower limit; longer ones find more of themselves again.
@@ -60,7 +60,7 @@ def compression_bands(text: Column | str, bands: Sequence[tuple[float, float, fl
             rows = [measure((t or "").encode("utf-8", "surrogatepass"), z, bands, chunk, max_bad) for t in texts]
             yield pd.DataFrame(rows, columns=RESULT.names).astype({"n_bytes": "int64", "ratio": "float64", "low_chunk": "float64", "high_chunk": "float64", "bad_chunks": "float64"})
 
-    return judge(F.col(text) if isinstance(text, str) else text)
+    return once(judge)(F.col(text) if isinstance(text, str) else text)
 
 
 def within_bands(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
