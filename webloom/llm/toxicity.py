@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import doc_features, pick
+from .common import doc_features, once, pick
 from .linear import BITS, Model, fit, labelled_sample
 
 
@@ -66,7 +66,7 @@ def toxicity_of(text: Column | str, chain: Chain) -> Column:
         for texts in parts:
             yield pd.DataFrame(chain.probabilities([t if isinstance(t, str) else None for t in texts]), columns=chain.categories)
 
-    return score(F.col(text) if isinstance(text, str) else text)
+    return once(score)(F.col(text) if isinstance(text, str) else text)
 
 
 def toxic_documents(docs: DataFrame, chain: Chain, category: str = "toxic", threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
