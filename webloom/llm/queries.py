@@ -29,7 +29,16 @@ def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_embedding_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embed_dedup.near_pairs(load(spark, sf_dir, "embeddings"), MIN_COSINE)
+    return embed_dedup.near_links(load(spark, sf_dir, "embeddings"), MIN_COSINE)
+
+
+def embedding_links_of_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op3, over the table with a copy and a slightly moved copy of every vector, so
+    that there are links at every size."""
+    v = load(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    moved = F.transform("embedding", lambda x, i: F.when(i == 0, x + F.lit(0.2)).otherwise(x))
+    more = v.select((F.col("vec_id") + 1_000_000_000).alias("vec_id"), "embedding").union(v.select((F.col("vec_id") + 2_000_000_000).alias("vec_id"), moved))
+    return embed_dedup.near_links(v.union(more), MIN_COSINE)
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +74,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.profiles(docs, good_ids(spark, sf_dir)))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_url_reputation, op3_embedding_pairs, op4_minhash, op5_pii, op6_compression, op7_toxicity, op8_mixing, op9_hmm, op10_language)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_url_reputation, op3_embedding_pairs, op4_minhash, op5_pii, op6_compression, op7_toxicity, op8_mixing, op9_hmm, op10_language, embedding_links_of_copies)}
 
 _SUFFIX_LIST = ", ".join(f"'{s}'" for s in url_reputation.SUFFIXES)
 
@@ -76,6 +85,11 @@ def _strength(k: str, n: str, mu: str) -> str:
     return f"1 / least(0.99, greatest(0.001, coalesce({num} / nullif(sum({n} * ({n} - 1) * {v}), 0), 0.001))) - 1"
 
 
+_LINKS = f"""
+WITH v AS ({{v}}), c AS (SELECT e, min(vec_id) AS class_id, count(*) AS copies FROM v GROUP BY e),
+l AS (SELECT a.e, sum(b.copies)::BIGINT AS near FROM c a JOIN c b ON a.e <> b.e AND list_cosine_similarity(a.e, b.e) >= {MIN_COSINE} GROUP BY a.e)
+SELECT vec_id, class_id, copies, copies - 1 + coalesce(near, 0) AS links FROM v JOIN c USING (e) LEFT JOIN l USING (e)"""
+
 ORACLES: dict[str, str] = {
     "op2_url_reputation": f"""
 WITH p AS (
@@ -102,8 +116,9 @@ WITH p AS (
 ), ab AS (SELECT host, domain, suffix, m * mu + k AS a, m * (1 - mu) + n - k AS b FROM hosts0, m2
 ), post AS (SELECT host, domain, suffix, round(a / (a + b), 6) AS mean, round(greatest(0.0, a / (a + b) - 1.645 * sqrt(a * b / (pow(a + b, 2) * (a + b + 1)))), 6) AS bound FROM ab)
 SELECT page_id, url, host, post.domain, post.suffix, mean, bound FROM parted JOIN post USING (host) WHERE bound >= {MIN_BOUND}""",
-    "op3_embedding_pairs": f"""
-WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings)
-SELECT a.vec_id AS id_a, b.vec_id AS id_b, round(list_cosine_similarity(a.e, b.e), 6) AS cosine
-FROM v a JOIN v b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= {MIN_COSINE}""",
+    "op3_embedding_pairs": _LINKS.format(v="SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings"),
+    "embedding_links_of_copies": _LINKS.format(
+        v="""SELECT vec_id + k * 1000000000 AS vec_id, CASE WHEN k < 2 THEN embedding::DOUBLE[] ELSE list_prepend(embedding[1]::DOUBLE + 0.2::DOUBLE, (embedding::DOUBLE[])[2:]) END AS e
+FROM embeddings, (VALUES (0), (1), (2)) t(k)"""
+    ),
 }
