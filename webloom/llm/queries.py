@@ -12,7 +12,6 @@ from . import compression, embed_dedup, hmm, langid, minhash, mixing, packing, p
 from .common import load
 
 MIN_COSINE = 0.95
-MIN_BOUND = 0.8
 
 
 def good_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,7 +24,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_reputation.reputable_pages(load(spark, sf_dir, "pages"), load(spark, sf_dir, "labels"), MIN_BOUND)
+    return url_reputation.reputable_pages(load(spark, sf_dir, "pages"), load(spark, sf_dir, "labels"))
 
 
 def op3_embedding_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +76,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_url_reputation, op3_embedding_pairs, op4_minhash, op5_pii, op6_compression, op7_toxicity, op8_mixing, op9_hmm, op10_language, embedding_links_of_copies)}
 
 _SUFFIX_LIST = ", ".join(f"'{s}'" for s in url_reputation.SUFFIXES)
+_ADDRESS = r"(starts_with(host, '[') OR regexp_matches(host, '^\d{1,3}(\.\d{1,3}){3}$'))"
 
 
 def _strength(k: str, n: str, mu: str) -> str:
@@ -93,12 +93,12 @@ SELECT vec_id, class_id, copies, copies - 1 + coalesce(near, 0) AS links FROM v
 ORACLES: dict[str, str] = {
     "op2_url_reputation": f"""
 WITH p AS (
-  SELECT page_id, url, regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.\\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '^www\\.|\\.$', '', 'g') AS host FROM pages
+  SELECT page_id, url, regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.\\-]*://(?:[^/?#@]*@)?(\\[[0-9a-f:.]+\\]|[^/?#:@\\[\\]]+)', 1), '^www\\.|\\.$', '', 'g') AS host FROM pages
 ), cut AS (
   SELECT *, array_to_string(string_split(host, '.')[-3:], '.') AS three, array_to_string(string_split(host, '.')[-2:], '.') AS two, string_split(host, '.')[-1] AS one
   FROM p WHERE host <> ''
 ), named AS (
-  SELECT page_id, url, host, CASE WHEN three IN ({_SUFFIX_LIST}) THEN three WHEN two IN ({_SUFFIX_LIST}) THEN two ELSE one END AS suffix FROM cut
+  SELECT page_id, url, host, CASE WHEN {_ADDRESS} THEN host WHEN three IN ({_SUFFIX_LIST}) THEN three WHEN two IN ({_SUFFIX_LIST}) THEN two ELSE one END AS suffix FROM cut
 ), parted AS (
   SELECT *, CASE WHEN host = suffix THEN host ELSE string_split(left(host, length(host) - length(suffix) - 1), '.')[-1] || '.' || suffix END AS domain FROM named
 ), hosts AS (
@@ -113,9 +113,11 @@ WITH p AS (
 ), domains1 AS (SELECT domain, (m * mu + k) / (m + n) AS mu FROM domains0, m1
 ), hosts0 AS (SELECT h.*, mu FROM hosts h JOIN domains1 USING (domain)
 ), m2 AS (SELECT {_strength("k", "n", "mu")} AS m FROM hosts0
+), whole AS (SELECT (sum(k) + 1.0) / (sum(n) + 2.0) AS mu0 FROM hosts
+), bare AS (SELECT round(greatest(0.0, mu0 - 1.645 * sqrt(mu0 * (1 - mu0) / (m + 1))), 6) AS unknown FROM m2, whole
 ), ab AS (SELECT host, domain, suffix, m * mu + k AS a, m * (1 - mu) + n - k AS b FROM hosts0, m2
 ), post AS (SELECT host, domain, suffix, round(a / (a + b), 6) AS mean, round(greatest(0.0, a / (a + b) - 1.645 * sqrt(a * b / (pow(a + b, 2) * (a + b + 1)))), 6) AS bound FROM ab)
-SELECT page_id, url, host, post.domain, post.suffix, mean, bound FROM parted JOIN post USING (host) WHERE bound >= {MIN_BOUND}""",
+SELECT page_id, url, host, post.domain, post.suffix, mean, bound FROM parted JOIN post USING (host), bare WHERE bound >= unknown - 1e-6""",
     "op3_embedding_pairs": _LINKS.format(v="SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings"),
     "embedding_links_of_copies": _LINKS.format(
         v="""SELECT vec_id + k * 1000000000 AS vec_id, CASE WHEN k < 2 THEN embedding::DOUBLE[] ELSE list_prepend(embedding[1]::DOUBLE + 0.2::DOUBLE, (embedding::DOUBLE[])[2:]) END AS e
