@@ -49,6 +49,19 @@ def written(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, tag: str, key: str) -> DataFrame:
+    """``df`` written to the shared folder in buckets of ``key``, as many as the session has
+    shuffle partitions, and read again: what groups by the key needs no shuffle."""
+    spark = df.sparkSession
+    name = f"webloom_{tag.replace('-', '_')}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/webloom/{tag}-{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").option("path", path).option("compression", "zstd").bucketBy(n, key).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay, and the table that was read knows its buckets
+    return out
+
+
 @contextlib.contextmanager
 def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
     """Within, the shuffle files of a query go when it ends, not when the driver happens to
@@ -142,7 +155,8 @@ def hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 def words_of(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(bounds, hashes): the words of text i, in lower case, are
     ``hashes[bounds[i]:bounds[i + 1]]``. Null counts as empty. Texts of any length are
-    hashed in pieces of bounded size."""
+    hashed in pieces of bounded size, cut between words; only a word of more than 256 KB
+    counts as several."""
     counts: list[np.ndarray] = []
     found: list[np.ndarray] = []
     held: list[bytes] = []
@@ -176,13 +190,16 @@ def words_of(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _pieces(b: bytes) -> Iterator[bytes]:
-    """Cut at white space; a run without any is cut where a character starts."""
-    at = 0
+    """Cut between words. A single word of more than ``_CHUNK`` bytes is cut where a
+    character starts."""
+    c, at = np.frombuffer(b, np.uint8), 0
     while at < len(b):
         to = min(len(b), at + _CHUNK)
         if to < len(b):
-            cut = max(b.rfind(b" ", at, to), b.rfind(b"\n", at, to))
-            to = cut + 1 if cut > at else to
+            # after what belongs to no word, or before a character that starts one
+            ends = np.flatnonzero(~_WORD[c[at:to]] | (c[at + 1 : to + 1] >= 0xE0))
+            if len(ends):
+                to = at + int(ends[-1]) + 1
             while to < len(b) and b[to] & 0xC0 == 0x80:
                 to += 1
         yield b[at:to]
