@@ -112,14 +112,16 @@ def _featurise(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_cols: list[str], max_rows: int, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id") -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(n, doc, bucket, labels, fold key) of at most ``max_rows`` labelled documents, those
-    of least content hash. The bound keeps the driver's memory fixed at every size."""
-    d = pick(docs, id=id_col, text=text_col).where("id is not null and text is not null")
+    of least id hash; of rows that share an id one, that with the text of least hash. The
+    bound keeps the driver's memory fixed at every size and whatever repeats."""
+    d = pick(docs, id=id_col, text=text_col).where("id is not null and text is not null").withColumn("t", F.xxhash64("text"))
     y = pick(labels, id=label_id_col, **{f"y{i}": c for i, c in enumerate(label_cols)}).where(" and ".join(f"y{i} is not null" for i in range(len(label_cols))))
     names = [f"y{i}" for i in range(len(label_cols))]
     ids = y.select("id", *(F.col(c).cast("int").alias(c) for c in names)).withColumn("h", content_key("id", seed=11))
-    ids = ids.join(d.select("id"), "id", "left_semi").orderBy("h", "id", *names).limit(max_rows)
+    ids = ids.groupBy("id").agg(F.min(F.struct("h", *names)).alias("y")).select("id", "y.*")
+    ids = ids.join(d.groupBy("id").agg(F.min("t").alias("t")), "id").orderBy("h", "id").limit(max_rows)
     # at most max_rows short rows: small at any size of the input
-    df = d.join(F.broadcast(ids), "id").select("text", "h", *names)
+    df = d.join(F.broadcast(ids), ["id", "t"]).dropDuplicates(["id"]).select("text", "h", *names)
     schema = "h bigint, " + ", ".join(f"{c} int" for c in names) + ", buckets array<int>"
     t = df.mapInArrow(_featurise, schema).toArrow().combine_chunks()
     order = np.argsort(np.asarray(t.column("h")), kind="stable") if t.num_rows else np.zeros(0, np.int64)

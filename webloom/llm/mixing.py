@@ -5,11 +5,13 @@ Accelerated projected gradient finds non-negative document rates whose expected
 totals, sum of rate x tokens x posterior, come closest to the targets in (relative) least
 squares. The momentum restarts when the distance grows.
 Each step is one aggregate over the table; the rate of a document is a function of its
-posterior and the gradients so far, so no state is kept by document.
+posterior and the gradients so far. Every ``STATE`` steps the rates reached are written, so
+that a step replays no more than these.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -19,11 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batches, bound_batches, content_key, doc_features, pick, written
+from .common import batches, bound_batches, content_key, discard, doc_features, once, pick, written
 from .linear import BITS, Model, fit, labelled_sample
 
 DOMAINS = ("fine", "poor", "toxic")
 TARGETS = {"fine": 0.85, "poor": 0.1, "toxic": 0.05}
+STATE = 16
 
 
 def train_domains(docs: DataFrame, labels: DataFrame, max_rows: int = 12000, quality_col: str = "quality", toxic_col: str = "toxic", **columns: str) -> Model:
@@ -48,9 +51,11 @@ def _posteriors(rows: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Rec
 Steps = list[tuple[float, np.ndarray]]
 
 
-def _points(p: np.ndarray, steps: Steps) -> tuple[np.ndarray, np.ndarray]:
-    """(rates, the points ahead of them at which the next gradient is taken)."""
-    x = y = np.ones(len(p))
+def _points(p: np.ndarray, steps: Steps, x: np.ndarray | None = None, y: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(rates, the points ahead of them at which the next gradient is taken), from 1 or from
+    the rates and points before the steps."""
+    if x is None or y is None:
+        x = y = np.ones(len(p))
     for move, g in steps:
         new = np.maximum(0.0, y - p @ g)
         x, y = new, new + move * (new - x)
@@ -61,30 +66,44 @@ def _rate(p: np.ndarray, steps: Steps) -> np.ndarray:
     return _points(p, steps)[0]
 
 
+def _held(batch: pa.RecordBatch, steps: Steps, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    p = np.asarray(batch.column("p").flatten()).reshape(batch.num_rows, d)
+    at = [np.asarray(batch.column(c)) for c in "xy"] if "x" in batch.schema.names else []
+    return p, *_points(p, steps, *at)
+
+
+def _moved(rows: Iterator[pa.RecordBatch], steps: Steps, d: int) -> Iterator[pa.RecordBatch]:
+    for batch in rows:
+        _, x, y = _held(batch, steps, d)
+        yield pa.RecordBatch.from_arrays([batch.column("tokens"), batch.column("p"), pa.array(x), pa.array(y)], ["tokens", "p", "x", "y"])
+
+
 def _sums(rows: Iterator[pa.RecordBatch], steps: Steps, d: int) -> Iterator[pa.RecordBatch]:
     total, ahead, gram = np.zeros(d), np.zeros(d), np.zeros((d, d))
     for batch in rows:
-        p = np.asarray(batch.column("p").flatten()).reshape(batch.num_rows, d)
+        p, x, y = _held(batch, steps, d)
         t = np.asarray(batch.column("tokens"), float)
-        x, y = _points(p, steps)
         total += (t * x) @ p
         ahead += (t * y) @ p
-        if not steps:
+        if not steps and "x" not in batch.schema.names:
             gram += (p * t[:, None]).T @ p
     yield pa.RecordBatch.from_arrays([pa.array([a.reshape(-1).tolist()]) for a in (total, ahead, gram)], ["total", "ahead", "gram"])
 
 
 def fit_rates(scored: DataFrame, domains: int, targets: list[float], rounds: int = 200, tolerance: float = 1e-6) -> Steps:
     """The steps (momentum, gradient) that turn posteriors into rates. ``targets`` are
-    shares; the total is that of the input. Stops when the totals are met or no longer
-    move (a target for a domain that no document belongs to can't be met)."""
+    shares; the total is that of the input. Stops when the totals are met, and with a
+    warning that says how far they are off when they no longer move (a target for a domain
+    that no document belongs to can't be met) or after ``rounds``."""
     share = np.array(targets) / sum(targets)
     steps: Steps = []
+    now_at, recent = scored.select("tokens", "p"), 0
     want = eta = scale = last = None
     pace, off = 1.0, np.inf
     while True:
         # one row for each partition
-        rows = scored.mapInArrow(lambda it: _sums(it, steps, domains), "total array<double>, ahead array<double>, gram array<double>")
+        late = steps[recent:]
+        rows = now_at.mapInArrow(lambda it: _sums(it, late, domains), "total array<double>, ahead array<double>, gram array<double>")
         got = rows.agg(*(F.sum(F.col(c)[i]).alias(f"{c[0]}{i}") for c, n in (("total", domains), ("ahead", domains), ("gram", domains**2)) for i in range(n))).first()
         total, ahead = (np.array([got[f"{c}{i}"] or 0.0 for i in range(domains)]) for c in "ta")
         if want is None:
@@ -92,9 +111,10 @@ def fit_rates(scored: DataFrame, domains: int, targets: list[float], rounds: int
             gram = np.array([got[f"g{i}"] or 0.0 for i in range(domains**2)]).reshape(domains, domains)
             scale = np.maximum(np.diag(gram), 1e-9 * max(1.0, total.sum()))
             eta = 1 / max(1e-12, np.linalg.eigvalsh(gram / np.sqrt(np.outer(scale, scale))).max())
-        if not total.sum() and not steps or np.abs(total - want).max() <= tolerance * max(1.0, want.sum()) or len(steps) >= rounds:
+        if not total.sum() and not steps or np.abs(total - want).max() <= tolerance * max(1.0, want.sum()):
             return steps
-        if last is not None and np.abs(total - last).max() <= 1e-3 * tolerance * max(1.0, want.sum()):
+        if len(steps) >= rounds or last is not None and np.abs(total - last).max() <= 1e-3 * tolerance * max(1.0, want.sum()):
+            warnings.warn(f"after {len(steps)} rounds a domain's total is off by {np.abs(total - want).max() / want.sum():.2%} of all tokens", stacklevel=2)
             return steps
         now = float(((total - want) ** 2 / scale).sum())
         if now > off:
@@ -102,6 +122,12 @@ def fit_rates(scored: DataFrame, domains: int, targets: list[float], rounds: int
         faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
         steps = [*steps, ((pace - 1) / faster, eta * (ahead - want) / scale)]
         last, off, pace = total, now, faster
+        if len(steps) - recent >= STATE:
+            late = steps[recent:]
+            before, now_at = now_at, written(now_at.mapInArrow(lambda it: _moved(it, late, domains), "tokens bigint, p array<double>, x double, y double"), "mix-state")  # noqa: B023
+            if recent:
+                discard(before)
+            recent = len(steps)
 
 
 def document_rates(docs: DataFrame, model: Model, targets: Mapping[str, float] = TARGETS, id_col: str = "doc_id", text_col: str = "text", rounds: int = 200, tolerance: float = 1e-6) -> DataFrame:
@@ -123,7 +149,9 @@ def document_rates(docs: DataFrame, model: Model, targets: Mapping[str, float] =
 
 def mixed(docs: DataFrame, model: Model, targets: Mapping[str, float] = TARGETS, seed: int = 3, text_col: str = "text", rounds: int = 200, tolerance: float = 1e-6) -> DataFrame:
     """``docs`` with every row as often as its rate says: the whole part of the rate, and
-    once more if the row's content hash falls below the fraction. All columns are kept."""
+    once more if the row's content hash falls below the fraction. All columns are kept.
+    Rows that are alike in all columns get the same number of copies; null and empty texts
+    have the rate of the bare prior; an empty table gives no rows."""
     bound_batches(docs.sparkSession)
     raw = docs.select(F.col(f"`{text_col}`").alias("text"), F.lit(None).cast("long").alias("id"))
     schema = "id bigint, tokens bigint, p array<double>"
@@ -139,6 +167,6 @@ def mixed(docs: DataFrame, model: Model, targets: Mapping[str, float] = TARGETS,
 
     plain = [c for c, t in docs.dtypes if not t.startswith(("map", "variant"))]
     draw = F.shiftrightunsigned(content_key(*(F.col(f"`{c}`") for c in plain), seed=seed), 11) / F.lit(float(1 << 53))
-    copies = F.floor(rate(F.col(f"`{text_col}`")) + 1 - draw).cast("int")
+    copies = F.floor(once(rate)(F.col(f"`{text_col}`")) + 1 - draw).cast("int")
     out = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), copies.alias("copies"))
     return out.select(F.explode(F.array_repeat("row", F.col("copies"))).alias("row")).select("row.*")
