@@ -66,7 +66,8 @@ def compression_bands(text: Column | str, bands: Sequence[tuple[float, float, fl
 def within_bands(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
     """(id, n_bytes, ratio, low_chunk, high_chunk, bad_chunks) of the documents that pass;
     null, empty, repetitive and incompressible texts go. Null ids and repeated rows are
-    kept as they come; other columns are ignored."""
+    kept as they come; a ratio that equals a limit is within it; other columns are ignored;
+    an empty table gives no rows."""
     df = pick(docs, id=id_col, text=text_col)
     out = df.select(F.col("id").alias(id_col), compression_bands("text", **limits).alias("m")).where("m.verdict = 'ok'")
     return out.select(id_col, "m.n_bytes", *(F.round(f"m.{c}", 6).alias(c) for c in ("ratio", "low_chunk", "high_chunk", "bad_chunks")))

@@ -26,7 +26,7 @@ from .common import content_key, once, pick, written
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END_OF_TEXT = 50256
-BLOCK_ROWS = 20000
+BLOCK_ROWS, BLOCKS = 20000, 4096
 
 
 class _Words(dict):
@@ -99,7 +99,9 @@ def pack(docs: DataFrame, targets: Mapping[str, float] | None = None, window: in
     the power ``temperature``. A source that isn't named gets one token a round, so it is
     packed too. Null is a source of its own. Documents with null or empty text have no
     tokens and stand in no window; null ids and repeated rows are packed like others;
-    identical rows are interchangeable. Other columns are ignored.
+    identical rows are interchangeable, and ties of the order's hash go by id and length.
+    Texts of any length are packed whole; an empty table gives no rows. Other columns are
+    ignored.
     """
     raw = pick(docs, id=id_col, text=text_col, source=source_col)
     key = F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit("+"), F.col("source").cast("string")))
@@ -119,7 +121,7 @@ def pack(docs: DataFrame, targets: Mapping[str, float] | None = None, window: in
     queues = queues.select("queue", quantum.alias("q"), (F.expr(f"docs div {BLOCK_ROWS}") + 1).alias("blocks"))
 
     t = t.join(queues, "queue").withColumn("block", F.shiftright(F.shiftright("h", 31) * F.col("blocks"), 32))
-    ends = _running(t, ["queue"], ["block"], ["h", "id", "n"], "n")
+    ends = _running(t, ["queue"], "block", ["h", "id", "n"], "n")
     s = ends.select("queue", "id", "q", "n", (F.col("end") - F.col("n")).alias("s"))
     sent = lambda r: f"greatest(0, if(({r}) * q - s >= n, n, (({r}) * q - s) div {packet} * {packet}))"
     rounds = F.expr(f"sequence((s + least({packet}, n) + q - 1) div q, (s + n + q - 1) div q)")
@@ -128,21 +130,27 @@ def pack(docs: DataFrame, targets: Mapping[str, float] | None = None, window: in
 
     # rounds are of equal length, so blocks of rounds are too
     spans = spans.withColumn("block", F.expr("round div 256"))
-    placed = _running(spans, [], ["block"], ["round", "queue", "s", "a", "id"], "n")
+    placed = _running(spans, [], "block", ["round", "queue", "s", "a", "id"], "n")
     placed = placed.withColumn("at", F.col("end") - F.col("n")).withColumn("window_id", F.explode(F.expr(f"sequence(at div {window}, (end - 1) div {window})")))
     lo, hi = F.greatest("at", F.col("window_id") * window), F.least("end", (F.col("window_id") + 1) * window)
     source = F.when(F.col("queue") != "-", F.expr("substring(queue, 2)"))
     return placed.select("window_id", (lo - F.col("window_id") * window).alias("position"), source.alias("source"), F.col("id").alias(id_col), (F.col("a") + lo - F.col("at")).alias("token_start"), (F.col("a") + hi - F.col("at")).alias("token_end"))
 
 
-def _running(df: DataFrame, group: list[str], block: list[str], order: list[str], n: str) -> DataFrame:
+def _running(df: DataFrame, group: list[str], block: str, order: list[str], n: str) -> DataFrame:
     """``df`` with ``end``, the running sum of ``n`` by ``group`` in the order of block
-    and ``order``: sums within blocks, plus the sum of the blocks before."""
-    by = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
-    blocks = df.groupBy(*group, *block).agg(F.sum(n).alias("total"))
-    before = blocks.select(*group, *block, F.coalesce(F.sum("total").over(by.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    own = F.sum(n).over(Window.partitionBy(*group, *block).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn("end", own).join(before, [*group, *block]).withColumn("end", F.col("end") + F.col("before")).drop("before")
+    and ``order``: sums within blocks, plus the sum of the blocks before. The blocks are
+    summed in the same way, by blocks of ``BLOCKS`` of them, so that one task never has
+    more than a row for each of these."""
+    blocks = df.groupBy(*group, block).agg(F.sum(n).alias("total")).withColumn("_over", F.expr(f"{block} div {BLOCKS}"))
+    whole = blocks.groupBy(*group, "_over").agg(F.sum("total").alias("all"))
+    of = lambda *by: Window.partitionBy(*group, *by) if group or by else Window.partitionBy(F.lit(0))
+    until = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    whole = whole.select(*group, "_over", F.coalesce(F.sum("all").over(until(of().orderBy("_over"))), F.lit(0)).alias("far"))
+    near = F.coalesce(F.sum("total").over(until(of("_over").orderBy(block))), F.lit(0))
+    before = blocks.withColumn("near", near).join(whole, [*group, "_over"]).select(*group, block, (F.col("near") + F.col("far")).alias("before"))
+    own = F.sum(n).over(Window.partitionBy(*group, block).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return df.withColumn("end", own).join(before, [*group, block]).withColumn("end", F.col("end") + F.col("before")).drop("before")
 
 
 def window_tokens(layout: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:

@@ -71,8 +71,9 @@ def toxicity_of(text: Column | str, chain: Chain) -> Column:
 
 def toxic_documents(docs: DataFrame, chain: Chain, category: str = "toxic", threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, p_<category>...) of the documents whose probability of ``category`` is at
-    least ``threshold``. Null ids and repeated rows are kept as they come; other columns
-    are ignored."""
+    least ``threshold``. Null ids and repeated rows are kept as they come, null and empty
+    texts are judged as texts without words, and one whose probability equals the
+    threshold is in; other columns are ignored; an empty table gives no rows."""
     df = pick(docs, id=id_col, text=text_col)
     out = df.select(F.col("id").alias(id_col), toxicity_of("text", chain).alias("p"))
     return out.select(id_col, *(F.round(f"p.{c}", 6).alias(f"p_{c}") for c in chain.categories)).where(F.col(f"p_{category}") >= threshold)
