@@ -61,6 +61,12 @@ def test_pieces_of_long_texts(monkeypatch):
     monkeypatch.setattr(common, "_CHUNK", 1000)
     parts = common.words_of([text, "a b", None])
     assert (whole[0] == parts[0]).all() and (whole[1] == parts[1]).all()
+    for sep in ("\t", ",", "漢"):
+        monkeypatch.setattr(common, "_CHUNK", 1 << 18)
+        whole = common.words_of([text.replace(" ", sep)])[1]
+        monkeypatch.setattr(common, "_CHUNK", 1000)
+        assert (common.words_of([text.replace(" ", sep)])[1] == whole).all()
+    assert len(common.words_of(["x" * 2500])[1]) == 3  # the one thing that is cut
 
 
 # 1 packing
@@ -97,12 +103,14 @@ def drr(queues, quanta, packet, window):
     return [(k // window, k % window, *x) for k, x in enumerate(out)]
 
 
-def test_packing_against_round_robin(spark):
+def test_packing_against_round_robin(spark, monkeypatch):
     rnd = random.Random(3)
     rows = [(i, rand_words(rnd, rnd.randint(1, 60)), rnd.choice("aab") if i % 9 else "c") for i in range(120)]
     df = docs_of(spark, rows).withColumns(clash())
     count = packing.Counter()
-    for targets in ({"a": 0.5, "b": 0.3, "c": 0.2}, {"a": 1.0}, None):
+    for k, targets in enumerate(({"a": 0.5, "b": 0.3, "c": 0.2}, {"a": 1.0}, None)):
+        monkeypatch.setattr(packing, "BLOCK_ROWS", (7, 20000, 20000)[k])
+        monkeypatch.setattr(packing, "BLOCKS", (2, 4096, 4096)[k])
         got = packing.pack(df, targets, window=64, packet=8).collect()
         h = {r.doc_id: r.h for r in df.select("doc_id", F.shiftrightunsigned(common.content_key("doc_id", "text", seed=0), 1).alias("h")).collect()}
         queues = defaultdict(list)
@@ -205,49 +213,83 @@ def test_reputation_edges(spark):
     assert got == {"a.com": ("a.com", "com", 2, 2), "localhost": ("localhost", "localhost", 0, 0), "co.uk": ("co.uk", "co.uk", 0, 0), "b.a.com": ("a.com", "com", 0, 0), "例え.jp": ("例え.jp", "jp", 0, 0)}
     assert url_reputation.reputable_pages(p, q, 0.0).count() == 7
     assert url_reputation.reputable_pages(p.where("false"), q).count() == 0
+    more = spark.createDataFrame([(i, u) for i, u in enumerate(["http://1.2.3.4/a", "http://9.8.3.4:8080/", "http://[2001:db8::1]:80/x", "http://a.b.foo.ck/", "http://www.ck/", "http://x.www.ck/", "http://tax.gov.br", "http://me.vercel.app"])], "page_id bigint, url string")
+    rules = spark.createDataFrame([("*.ck",), ("!www.ck",), (None,), ("gov.br",), ("vercel.app",), ("com",)], "rule string")
+    got = {r.host: (r.domain, r.suffix) for r in url_reputation.host_reputation(more, q, suffixes=rules).collect()}
+    assert got == {**{h: (h, h) for h in ("1.2.3.4", "9.8.3.4", "[2001:db8::1]")}, "a.b.foo.ck": ("b.foo.ck", "foo.ck"), "ck": ("ck", "ck"), "x.www.ck": ("www.ck", "ck"), "tax.gov.br": ("tax.gov.br", "gov.br"), "me.vercel.app": ("me.vercel.app", "vercel.app")}
+
+
+def test_a_bad_host_and_a_bad_domain_go(spark):
+    rnd = random.Random(7)
+    good = {f"{a}.{d}.com": 0.3 if d == "bad" else 0.2 if (a, d) == ("evil", "fine") else 0.9 for a in ("a", "b", "evil", "new") for d in ("fine", "best", "bad", "more")}
+    pages = [(i, f"http://{rnd.choice(sorted(good))}/{i}") for i in range(3000)]
+    host = {i: u.split("/")[2] for i, u in pages}
+    labels = [(i, int(rnd.random() < good[h])) for i, h in host.items() if not h.startswith("new.") and rnd.random() < 0.7]
+    p, q = spark.createDataFrame(pages, "page_id bigint, url string"), spark.createDataFrame(labels, "doc_id bigint, quality int")
+    kept = {r.host for r in url_reputation.reputable_pages(p, q).collect()}
+    bad = {h for h in good if h.endswith("bad.com")} | {"evil.fine.com"}
+    assert not kept & bad  # new.bad.com without a label of its own
+    assert kept >= {h for h, g in good.items() if g == 0.9 and not h.startswith("new.")}
     assert {r.mean for r in url_reputation.host_reputation(p, q.where("false")).collect()} == {0.5}
 
 
 # 3 embeddings
 
 
-def brute_pairs(rows, tau):
-    out = {}
-    v = [(i, np.array(x, float) / np.linalg.norm(np.array(x, float))) for i, x in rows]
-    for (i, a), (j, b) in itertools.combinations(v, 2):
-        if i != j and a @ b >= tau:
-            key = (min(i, j), max(i, j))
-            out[key] = max(out.get(key, -1), round(float(a @ b), 6))
-    return out
+def brute_links(rows, tau):
+    """(id, class, copies, links) of every row, one pair of rows after another."""
+    def good(x):
+        return x and all(e is not None and math.isfinite(e) for e in x) and any(x)
+
+    out = []
+    for k, (i, x) in enumerate(rows):
+        if not good(x):
+            out.append((i, None, 0, 0))
+            continue
+        same = [j for j, z in rows if good(z) and list(z) == list(x)]
+        a = np.array(x, float)
+        near = sum(1 for m, (_, z) in enumerate(rows) if m != k and good(z) and len(z) == len(x) and a @ np.array(z, float) / np.linalg.norm(a) / np.linalg.norm(np.array(z, float)) >= tau)
+        out.append((i, min((j for j in same if j is not None), default=None), len(same), near))
+    return Counter(out)
 
 
-@pytest.mark.parametrize("dims, tau, blocks", [(16, 0.9, 4), (24, 0.8, 8), (3, 0.95, 8)])
-def test_embeddings_against_brute_force(spark, dims, tau, blocks):
+@pytest.mark.parametrize("dims, tau, blocks, cell", [(16, 0.9, 4, 20), (24, 0.8, 8, 1 << 15), (24, 0.95, 3, 60), (3, 0.95, 8, 16), (5, 0.6, 1, 10)])
+def test_embeddings_against_brute_force(spark, dims, tau, blocks, cell):
     g = np.random.default_rng(dims)
     base = g.standard_normal((60, dims))
-    rows = [(i, (base[i % 60] + g.standard_normal(dims) * (0.02 if i % 3 else 0.3)).astype(np.float32).tolist()) for i in range(180)]
-    rows += [(500, rows[0][1]), (501, rows[0][1])]
+    rows = [(i, (base[i % 60] + g.standard_normal(dims) * (0.02 if i % 3 else 0.3)).astype(np.float32).tolist()) for i in range(400)]
+    rows += [(500, rows[0][1]), (501, rows[0][1]), (502, [2 * x for x in rows[0][1]])]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumns(clash())
-    got = {(r.id_a, r.id_b): r.cosine for r in embed_dedup.near_pairs(df, tau, blocks=blocks).collect()}
-    want = brute_pairs(rows, tau)
-    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 2e-6 for k in got)
+    got = Counter(map(tuple, embed_dedup.near_links(df, tau, blocks=blocks, cell=cell, reach=50).collect()))
+    assert got == brute_links(rows, tau) and any(r[3] > 5 for r in got)
+
+
+def test_a_dense_group_is_counted_whole(spark):
+    g = np.random.default_rng(2)
+    one = g.standard_normal(16)
+    rows = [(i, (one + 0.05 * g.standard_normal(16)).tolist()) for i in range(1300)] + [(2000 + i, g.standard_normal(16).tolist()) for i in range(200)]
+    got = {r.vec_id: r.links for r in embed_dedup.near_links(spark.createDataFrame(rows, "vec_id int, embedding array<double>"), 0.95, cell=256, reach=512).collect()}
+    u = np.array([v for _, v in rows])
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    want = ((u @ u.T) >= 0.95).sum(axis=1) - 1
+    assert [got[i] for i, _ in rows] == want.tolist() and want.max() > 1000
 
 
 def test_embedding_edges(spark):
-    rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, []), (6, [1.0]), (7, [float("nan"), 1.0]), (None, [1.0, 0.0]), (8, [1.0, None]), (9, [float("inf"), 0.0]), (10, [0.0, 1.0])]
+    rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, []), (6, [1.0]), (7, [float("nan"), 1.0]), (None, [1.0, 0.0]), (8, [1.0, None]), (9, [float("inf"), 0.0]), (10, [0.0, 1.0]), (11, [-0.0, 1.0]), (12, [1e200, 1e200])]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
-    assert [tuple(r) for r in embed_dedup.near_pairs(df, 0.9).collect()] == [(1, 2, 1.0)]
-    assert embed_dedup.near_pairs(df.where("false")).count() == 0 and embed_dedup.near_pairs(df, 1.0).count() == 1
+    got = Counter(map(tuple, embed_dedup.near_links(df, 0.9).collect()))
+    assert got == Counter([(1, 1, 2, 3), (None, 1, 2, 3), (2, 2, 2, 3), (2, 2, 2, 3), (10, 10, 2, 1), (11, 10, 2, 1), (6, 6, 1, 0), (12, 12, 1, 0), *((i, None, 0, 0) for i in (3, 4, 5, 7, 8, 9))])
+    assert embed_dedup.near_links(df.where("false")).count() == 0
+    assert {r.links for r in embed_dedup.near_links(df, 1.1).collect()} == {0}
 
 
-def test_pairs_within_each_length_of_vectors(spark):
+def test_links_within_each_length_of_vectors(spark):
     g = np.random.default_rng(4)
     rows = [(i, g.standard_normal(12).tolist()) for i in range(30)] + [(100 + i, g.standard_normal(5).tolist()) for i in range(9)]
     rows += [(200, rows[0][1]), (201, rows[31][1]), (202, [x * 1.01 + 0.001 for x in rows[33][1]])]
-    got = {(r.id_a, r.id_b) for r in embed_dedup.near_pairs(spark.createDataFrame(rows, "vec_id int, embedding array<double>"), 0.95).collect()}
-    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in rows}
-    want = {(a, b) for a in unit for b in unit if a < b and len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.95}
-    assert got == want and {(0, 200), (101, 201), (103, 202)} <= got
+    got = Counter(map(tuple, embed_dedup.near_links(spark.createDataFrame(rows, "vec_id int, embedding array<double>"), 0.95).collect()))
+    assert got == brute_links(rows, 0.95)
 
 
 # 4 MinHash
@@ -491,7 +533,7 @@ def test_pii_frame(spark):
 def test_compression_against_plain_python(spark):
     rnd = random.Random(4)
     texts = [rand_words(rnd, n) for n in (3, 100, 2000)] + ["again and again " * k for k in (5, 50, 5000)] + ["".join(chr(rnd.randrange(0x4E00, 0x9FFF)) for _ in range(3000))]
-    texts.append(rand_words(rnd, 3000) + " same" * 4000)
+    texts.append(rand_words(rnd, 3000) + " same" * 2000)
     df = docs_of(spark, [(i, t, "a") for i, t in enumerate(texts)]).union(odd(spark).select(*DOC.replace(" bigint", "").replace(" string", "").split(", ")))
     z = zs.ZstdCompressor(level=3, write_checksum=False, write_content_size=False)
     rows = df.select("doc_id", "text", compression.compression_bands("text").alias("m")).collect()
@@ -505,7 +547,7 @@ def test_compression_against_plain_python(spark):
         chunk = [len(b[i : i + 4096]) / len(z.compress(b[i : i + 4096])) for i in range(0, len(b), 4096)]
         assert (m.low_chunk, m.high_chunk) == pytest.approx((min(chunk), max(chunk)))
     verdict = {r.doc_id: r.m.verdict for r in rows}
-    assert [verdict[i] for i in range(8)] == ["ok", "ok", "ok", "ok", "repetitive", "repetitive", "incompressible", "repetitive chunks"] or verdict[3] in ("ok", "repetitive")
+    assert [verdict[i] for i in range(8)] == ["ok", "ok", "ok", "ok", "repetitive", "repetitive", "incompressible", "repetitive chunks"]
     kept = {r.doc_id for r in compression.within_bands(df.withColumns(clash())).collect()}
     assert kept == {r.doc_id for r in rows if r.m.verdict == "ok"} and {0, 1, 2} <= kept and not kept & {4, 5, 6, 7}
     assert compression.within_bands(df.where("false")).count() == 0
@@ -546,6 +588,48 @@ def test_chain_on_held_out_documents(spark):
     assert chain.models[1].extra.shape == (1, 2) and chain.models[0].extra.shape == (0, 2)
 
 
+def test_chain_against_loops_over_folds(spark):
+    """The folds, the out-of-fold column and the chain by plain loops over documents."""
+    docs, labels = labelled_corpus(spark, 240, seed=4)
+    both = labels.withColumn("poor", 1 - F.col("quality"))
+    chain = toxicity.train_chain(docs, both, ["poor", "toxic"], folds=3)
+    keyed = docs.join(both, "doc_id").withColumn("h", common.content_key("doc_id", seed=11)).collect()
+    rows = sorted(keyed, key=lambda r: r.h)
+    fold = [(r.h % 2**64) % 3 for r in rows]
+    words = [sorted(set(common.doc_features([r.text], linear.BITS)[1].tolist())) for r in rows]
+
+    def fitted(at, y, extra):
+        doc = np.array([k for k, i in enumerate(at) for _ in words[i]])
+        return linear.fit(len(at), doc, np.array([b for i in at for b in words[i]]), np.array(y)[at], 2, np.array(extra)[at])
+
+    def probability(m, i, extra):
+        z = m.bias.copy()
+        for b, w in zip(m.buckets, m.weights):
+            if b in set(words[i]):
+                z = z + w
+        for x, w in zip(extra, m.extra):
+            z = z + x * w
+        return float(np.exp(z[1]) / np.exp(z).sum())
+
+    every = list(range(len(rows)))
+    poor, toxic = [r.poor for r in rows], [r.toxic for r in rows]
+    none = [[] for _ in rows]
+    seen = [0.0] * len(rows)
+    for f in range(3):
+        m = fitted([i for i in every if fold[i] != f], poor, none)
+        for i in every:
+            if fold[i] == f:
+                seen[i] = probability(m, i, [])
+    first = fitted(every, poor, none)
+    second = fitted(every, toxic, [[x] for x in seen])
+    for mine, theirs in ((first, chain.models[0]), (second, chain.models[1])):
+        assert (mine.buckets == theirs.buckets).all() and np.allclose(mine.weights, theirs.weights, atol=1e-9) and np.allclose(mine.extra, theirs.extra, atol=1e-9) and np.allclose(mine.bias, theirs.bias, atol=1e-9)
+    got = {r.doc_id: r for r in toxicity.toxic_documents(docs, chain, threshold=0.0).collect()}
+    for i, r in enumerate(rows):
+        p = probability(first, i, [])
+        assert got[r.doc_id].p_poor == pytest.approx(p, abs=2e-6) and got[r.doc_id].p_toxic == pytest.approx(probability(second, i, [p]), abs=2e-6)
+
+
 def test_chain_edges(spark):
     docs, labels = labelled_corpus(spark, 60)
     none = toxicity.train_chain(docs, labels.where("false"), ["quality", "toxic"])
@@ -555,6 +639,11 @@ def test_chain_edges(spark):
     chain = toxicity.train_chain(odd(spark).union(docs.withColumns(clash())), labels.union(spark.createDataFrame([(None, 1, 1), (90, 1, 1), (5, None, 1), (94, 1, 0), (94, 1, 0)], labels.schema)), ["quality", "toxic"])
     assert toxicity.toxic_documents(odd(spark), chain, threshold=0.0).count() == len(ODD)
     assert toxicity.toxic_documents(odd(spark).where("false"), chain).count() == 0
+    bare = toxicity.train_chain(docs.where("false"), labels, ["toxic"])
+    assert toxicity.toxic_documents(docs, bare).count() == 0 and toxicity.toxic_documents(docs, bare, threshold=0.0).count() == 60
+    # a repeated row counts once in the fit, and brings the driver no more than the bound
+    n, _, _, _, _ = linear.labelled_sample(docs.union(docs).union(docs), labels, ["toxic"], 50)
+    assert n == 50
 
 
 def test_softmax_fit_recovers_a_rule():
@@ -627,7 +716,20 @@ def test_mixing_edges(spark):
     assert mixing.document_rates(odd(spark).where("false"), model).count() == 0 and mixing.mixed(odd(spark).where("false"), model).count() == 0
     blind = mixing.train_domains(docs, labels.where("false"))
     assert len(mixing.document_rates(docs, blind).collect()) == 60
-    assert mixing.mixed(odd(spark), model).count() >= 0
+    rate = {(r.doc_id, r.tokens): r.rate for r in got}
+    copies = Counter(r.doc_id for r in mixing.mixed(odd(spark), model).collect())
+    for i, _, _ in {r[0]: r for r in ODD}.values():
+        rows = sum(r[0] == i for r in ODD)
+        one = next(v for (k, _), v in rate.items() if k == i)
+        assert math.floor(one) * rows <= copies[i] <= math.ceil(one) * rows
+    with pytest.warns(UserWarning, match="off by"):  # nobody belongs to the third domain
+        mixing.fit_rates(spark.createDataFrame([(5, [1.0, 0.0, 0.0]), (5, [0.0, 1.0, 0.0])], "tokens bigint, p array<double>"), 3, [0.4, 0.4, 0.2])
+    df = spark.createDataFrame([(5 + k, [0.9 - k / 100, 0.05, 0.05 + k / 100]) for k in range(40)], "tokens bigint, p array<double>")
+    with pytest.warns(UserWarning, match="after 40 rounds"):
+        steps = mixing.fit_rates(df, 3, [0.1, 0.1, 0.8], rounds=40)
+    p, t = np.array([[0.9 - k / 100, 0.05, 0.05 + k / 100] for k in range(40)]), np.arange(5, 45)
+    x, y = mixing._points(p, steps[:20])
+    assert np.allclose(mixing._points(p, steps[20:], x, y)[0], mixing._rate(p, steps)) and len(steps) == 40
 
 
 # 9 hidden Markov model
@@ -764,13 +866,12 @@ def test_language_against_plain_python_and_edges(spark):
     rows = odd(spark).select("doc_id", "text", langid.language_of("text", known).alias("f")).collect()
     for r in rows:
         b = " ".join((r.text or "").lower().split()).encode("utf-8", "surrogatepass")
-        sizes = []
+        sizes = []  # by a plain loop, whole texts of any length in the same way
         for name, raw in known.items():
             d = zs.ZstdCompressionDict(raw, dict_type=zs.DICT_TYPE_RAWCONTENT)
-            level = 19 if len(b) < 512 else 6
-            d.precompute_compress(level=level)
-            z = zs.ZstdCompressor(level=level, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
-            sizes.append((sum(len(z.compress(b[i : i + 4096])) for i in range(0, len(b), 4096)), name))
+            d.precompute_compress(level=12)
+            z = zs.ZstdCompressor(level=12, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+            sizes.append((sum(len(z.compress(b[i : i + 4096])) for i in range(0, len(b), 512)), name))
         sizes.sort()
         m = (sizes[1][0] - sizes[0][0]) / sizes[0][0] if sizes[0][0] else 0.0
         assert r.f.margin == pytest.approx(m) and r.f.language == (sizes[0][1] if m >= 0.01 else None)
@@ -778,3 +879,14 @@ def test_language_against_plain_python_and_edges(spark):
     assert langid.identify(odd(spark).where("false"), known).count() == 0
     assert langid.identify(docs, {}).count() == 0 and langid.identify(docs, {"aa": known["aa"]}).count() == 60
     assert langid.profiles(docs, docs.select("doc_id").where("false")) == {}
+    # two equal dictionaries tie on every text
+    assert langid.identify(docs, {"aa": known["aa"], "zz": known["aa"]}, min_margin=0.0).count() == 0
+
+
+def test_profiles_are_whole_documents_within_their_bounds(spark):
+    rows = [(i, f"word{i} " * n, lang) for i, (n, lang) in enumerate([(20, "aa")] * 5 + [(20, "bb")] * 4 + [(20, f"odd{k}") for k in range(9)] + [(9000, "aa")])]
+    docs = spark.createDataFrame(rows * 3, "doc_id bigint, text string, lang string")
+    got = langid.profiles(docs, docs.select("doc_id"), max_bytes=2000, max_languages=3)
+    assert list(got) == ["aa", "bb", "odd0"] and len(got["aa"].split()) == 100 and len(got["bb"].split()) == 80
+    few = langid.profiles(docs, docs.select("doc_id"), max_bytes=2000, docs_per_language=2)
+    assert all(len(b.split()) == 40 for k, b in few.items() if k in ("aa", "bb")) and len(few) == 11
