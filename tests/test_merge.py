@@ -105,3 +105,23 @@ def test_stream_into(spark):
     assert sql(spark, "SELECT 1 AS a").first().a == 1
 
 
+
+
+def test_a_failed_swap_leaves_the_table(spark, monkeypatch):
+    from webloom.operators import merge as M
+
+    spark.sql("DROP TABLE IF EXISTS swap_t")
+    spark.range(3).write.saveAsTable("swap_t")
+    rows = spark.table("swap_t").selectExpr("id + 10 AS id")
+    monkeypatch.setattr(M, "quote_text", lambda t: "no text")
+    with pytest.raises(Exception):
+        M.replace_table(spark, "swap_t", rows)
+    assert sorted(r.id for r in spark.table("swap_t").collect()) == [0, 1, 2]
+    monkeypatch.undo()
+    M.replace_table(spark, "swap_t", rows)
+    assert sorted(r.id for r in spark.table("swap_t").collect()) == [10, 11, 12]
+    M.replace_table(spark, "swap_t", spark.table("swap_t").selectExpr("id * 2 AS id"))
+    assert sorted(r.id for r in spark.sql("SELECT * FROM swap_t").collect()) == [20, 22, 24]
+    spark.sql("INSERT INTO swap_t VALUES (1)")
+    assert spark.table("swap_t").count() == 4
+    spark.sql("DROP TABLE swap_t")

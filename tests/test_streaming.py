@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from webloom import streaming
-from webloom.plans.extract_clause import crawl_into, parse_extract, select_extract
+from webloom.plans.extract_clause import crawl_into, parse_crawl, parse_extract, select_extract
 from webloom.plans.statement import StatementError
 from webloom.sources.fetch import StoredFetcher
 
@@ -74,4 +74,15 @@ def test_crawl_into(spark):
     for _ in range(2):
         n = crawl_into(spark, [f"{A}/", f"{A}/p1"], "ci", "EXTRACT (title FROM css 'title::text')", fetcher=StoredFetcher(SITE), delay=0).first().rows_inserted
     assert n == 2 and spark.table("ci").count() == 4 and {r.title for r in spark.table("ci").collect()} == {"Home", None}
+    assert spark.table("ci").columns[:18] == ["url", "surt_key", "status_code", "body", "content_type", "crawled_at", "elapsed_ms", "error", "error_type", "final_url", "redirect_count", "etag", "last_modified", "content_hash", "jsonld", "opengraph", "meta", "js"]
     spark.sql("DROP TABLE ci")
+
+
+def test_crawl_statement(spark):
+    s = parse_crawl("""CRAWL (SELECT u FROM x WHERE a IN ('LIMIT 3', 'INTO y')) INTO db.t EXTRACT (jsonld.Product.name AS name, price DECIMAL FROM css '.p::text') WHERE url LIKE '%WITH (%' WITH (user_agent 'B/1 (+x)', follow_links true, max_crawl_depth 3, default_crawl_delay 0.5, accept_content_types 'text/html, application/pdf') LIMIT 9;""")
+    assert (s.query, s.table, s.sites, s.where, s.limit) == ("SELECT u FROM x WHERE a IN ('LIMIT 3', 'INTO y')", "db.t", False, "url LIKE '%WITH (%'", 9)
+    assert s.settings() == {"user_agent": "B/1 (+x)", "max_depth": 3, "delay": 500, "accept": ["text/html", "application/pdf"], "follow": "a[href]", "same_site": True, "respect_nofollow": True}
+    assert parse_crawl("crawl sites (select 'a') into t").sites
+    for bad in ("CRAWL (SELECT 1)", "CRAWL (SELECT 1) INTO t WITH (nope 1)", "CRAWL (SELECT 1) INTO t LIMIT x", "CRAWL (SELECT 1) INTO t what", "CRAWL (SELECT 1) INTO t WITH (timeout_seconds soon)"):
+        with pytest.raises(StatementError):
+            parse_crawl(bad).settings()

@@ -3,9 +3,9 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
-from webloom.functions import http, robots, urls, values
+from webloom.functions import http, names, robots, urls, values
 from webloom.sources import crawl as C
-from webloom.sources.fetch import Options, StoredFetcher
+from webloom.sources.fetch import HttpFetcher, Options, StoredFetcher, Visitor, gunzip, response
 from webloom.sources.read_html import column_names, html_relation, read_html
 from webloom.sources.sitemap import parse_sitemap, sitemap, stale
 
@@ -159,3 +159,204 @@ def test_options(spark):
     spark.conf.unset("webloom.timeout_ms")
     spark.conf.unset("webloom.respect_robots")
     assert STORE.fetch(f"{A}/p1", Options(max_response_bytes=5))["error"] == "content too large"
+
+
+class Clock:
+    def __init__(self):
+        self.now, self.slept = 0.0, []
+
+    def __call__(self):
+        return self.now
+
+    def sleep(self, seconds):
+        self.slept.append(round(seconds, 6))
+        self.now += seconds
+
+
+class Scripted:
+    """Answers from a list of statuses for each URL; the last one stays."""
+
+    def __init__(self, clock, plan, robots=None, after=None):
+        self.clock, self.plan, self.robots, self.after, self.log = clock, {u: list(v) for u, v in plan.items()}, robots or {}, after or {}, []
+
+    def fetch(self, url, options):
+        if url.endswith("/robots.txt"):
+            return response(url, 200, "text/plain", self.robots.get(url, ""), url)
+        left = self.plan[url]
+        status = left.pop(0) if len(left) > 1 else left[0]
+        self.log.append((round(self.clock.now, 6), url, status))
+        return response(url, status, "text/html", "x", url, None if status else "timed out", 10) | {"retry_after": self.after.get(url)}
+
+
+def visited(plan, urls, **how):
+    clock = Clock()
+    robots, after = how.pop("robots", None), how.pop("after", None)
+    fetcher = Scripted(clock, plan, robots, after)
+    got = Visitor(fetcher, Options(**how), robots is not None, True, clock, clock.sleep).visit(urls)
+    return got, fetcher.log, clock
+
+
+def test_delays_hold_for_a_host_whatever_the_scheme():
+    a, b, c = "http://h.org/1", "https://h.org/2", "http://other.org/3"
+    got, log, _ = visited({a: [200], b: [200], c: [200]}, [a, b, a, c], delay_ms=1000)
+    assert [g["status"] for g in got] == [200] * 4
+    assert log == [(0.0, a, 200), (0.0, c, 200), (1.0, b, 200), (2.0, a, 200)]
+    # the site's own Crawl-delay, and rules that are read once
+    got, log, _ = visited({a: [200], b: [200]}, [a, b, "http://h.org/no"], delay_ms=1000, robots={"http://h.org/robots.txt": "User-agent: *\nDisallow: /no\nCrawl-delay: 5"})
+    assert [t for t, _, _ in log] == [0.0, 5.0] and got[2]["error_type"] == "robots_disallowed"
+
+
+def test_failures_are_tried_again_and_a_429_blocks_the_site():
+    a, b, c = "http://h.org/a", "http://h.org/b", "http://z.org/c"
+    got, log, _ = visited({a: [503, 0, 200], b: [200], c: [404]}, [a, b, c], delay_ms=0, max_retries=3, retry_base_s=3.0)
+    assert [g["status"] for g in got] == [200, 200, 404] and [(t, s) for t, u, s in log if u == a] == [(0.0, 503), (3.0, 0), (9.0, 200)]
+    got, log, _ = visited({a: [429, 200], b: [200], c: [200]}, [a, b, c], delay_ms=0, max_retries=1, after={a: "60"})
+    assert log == [(0.0, a, 429), (0.0, c, 200), (60.0, a, 200), (60.0, b, 200)] or log == [(0.0, a, 429), (0.0, c, 200), (60.0, b, 200), (60.0, a, 200)]
+    got, log, _ = visited({a: [500]}, [a], delay_ms=0, max_retries=2)
+    assert got[0]["status"] == 500 and len(log) == 3 and "retry_after" not in got[0]
+    assert len(visited({a: [500]}, [a])[1]) == 1  # none without being asked for
+
+
+def test_a_delay_that_adapts():
+    a = "http://h.org/a"
+    clock = Clock()
+
+    class Slow:
+        times = iter([100, 100, 1000, 10, 10])
+
+        def fetch(self, url, options):
+            return response(url, 200, "text/html", "", url, None, next(self.times))
+
+    v = Visitor(Slow(), Options(delay_ms=1000, adaptive_delay=True), False, True, clock, clock.sleep)
+    v.visit([a] * 5)
+    assert clock.slept == [1.0, 1.0, 1.5, 1.35]
+
+
+def test_many_urls_of_one_site_take_near_linear_time():
+    import time
+
+    urls = [f"http://h.org/{i}" for i in range(20000)]
+    began = time.process_time()
+    _, log, clock = visited({u: [200] for u in urls}, urls, delay_ms=10)
+    assert time.process_time() - began < 10 and [u for _, u, _ in log] == urls and clock.now == pytest.approx(199.99)
+
+
+def test_http_fetcher_answers_whatever_is_asked(monkeypatch):
+    f, o = HttpFetcher(), Options(timeout_ms=200)
+    for url in ("http://127.0.0.1:1/a b", "file:///etc/hostname", "ftp://x/y", "nope", "http://[bad/", "http://127.0.0.1:1/"):
+        r = f.fetch(url, o)
+        assert r["status"] == 0 and r["error"] and r["body"] is None, url
+
+    import http.server
+    import threading
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            seen.append((self.path, self.headers.get("Authorization")))
+            if self.path == "/away":
+                self.send_response(302)
+                self.send_header("Location", f"http://localhost:{port}/there")
+                self.end_headers()
+            elif self.path == "/file":
+                self.send_response(302)
+                self.send_header("Location", "file:///etc/hostname")
+                self.end_headers()
+            elif self.path == "/short":
+                self.send_response(200)
+                self.send_header("Content-Length", "100")
+                self.end_headers()
+                self.wfile.write(b"x")
+            else:
+                self.send_response(200)
+                self.send_header("Content-Type", "text/html; charset=no-such-thing")
+                self.end_headers()
+                self.wfile.write(gzip.compress(b"a" * 20_000_000) if self.path == "/bomb" else "é".encode())
+
+        def log_message(self, *_):
+            pass
+
+    seen = []
+    server = http.server.HTTPServer(("127.0.0.1", 0), Handler)
+    port = server.server_port
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        home = f"http://127.0.0.1:{port}"
+        o = Options(timeout_ms=2000, headers={home: "secret"})
+        assert f.fetch(f"{home}/x", o)["body"] == "é"  # a charset that nobody knows
+        away = f.fetch(f"{home}/away", o)
+        assert away["status"] == 200 and away["final_url"] == f"http://localhost:{port}/there"
+        assert seen == [("/x", "Bearer secret"), ("/away", "Bearer secret"), ("/there", None)]
+        assert f.fetch(f"{home}/file", o)["status"] in (0, 302) and not f.fetch(f"{home}/file", o)["body"]
+        assert f.fetch(f"{home}/short", o)["error"]
+        assert f.fetch(f"{home}/bomb", o)["error"] == "content too large"
+    finally:
+        server.shutdown()
+
+
+def test_headers_and_proxies_stay_within_their_prefix():
+    o = Options(headers={"https://a.com": "t", "https://a.com/in": {"X": "1"}}, proxy="http://all", proxies={"https://a.com": "http://one", "https://a.com/in": "http://two"})
+    assert o.headers_for("https://a.com/in/x") == {"Authorization": "Bearer t", "X": "1"} and o.headers_for("https://A.com") == {"Authorization": "Bearer t"}
+    for url in ("https://a.com.evil.org/", "http://a.com/", "https://a.com:8443/", "https://x@a.com.evil.org"):
+        assert o.headers_for(url) == {} and o.proxy_for(url) == "http://all"
+    assert "X" not in o.headers_for("https://a.com/inside") and o.proxy_for("https://a.com/in?q") == "http://two" and o.proxy_for("https://a.com/q") == "http://one"
+
+
+def test_inflating_is_bounded():
+    data = gzip.compress(b"a" * 5_000_000) + gzip.compress(b"b" * 10)
+    assert len(gunzip(data)) == 5_000_010 and len(gunzip(data, 100)) == 101 and gunzip(data[:50]) == b"" and gunzip(b"plain", 2) == b"plain"
+
+
+def test_deep_crawls_of_a_table_keep_their_order(spark):
+    site = {f"https://d.org/{i}": (200, "text/html", f'<a class="n" href="/{i + 1}">x</a><a class="n" href="/{i}?b">y</a>') for i in range(12)}
+    urls = spark.createDataFrame([("https://d.org/0",), ("https://d.org/5",), ("http://bad host/x",), ("https://d.org/8",)], "url string").repartition(3)
+    got = C.crawl(spark, urls, StoredFetcher(site), follow="a.n", max_depth=8, respect_robots=False, delay=0).collect()
+    depth = {r.url: r.depth for r in got}
+    assert depth["https://d.org/0"] == 1 and depth["https://d.org/4"] == 5 and depth["https://d.org/12"] == 5 and "http://bad host/x" in depth and len(depth) == len(got)
+
+
+def test_cache_keeps_the_last_answer_and_compacts(spark):
+    t = "crawl_cache_two"
+    spark.sql(f"DROP TABLE IF EXISTS {t}")
+    ask = lambda body, ttl: C.crawl(spark, ["https://c.org/1"], StoredFetcher({"https://c.org/1": (200, "text/html", body)}), cache=t, cache_ttl=ttl, respect_robots=False, delay=0).first().html.document
+    assert [ask("<p>1", 24), ask("<p>2", 24), ask("<p>3", 0), ask("<p>4", 24)] == ["<p>1", "<p>1", "<p>3", "<p>3"]
+    assert spark.table(t).count() == 2
+    C.compact(spark, t)
+    assert [r.body for r in spark.table(t).collect()] == ["<p>3"]
+    spark.sql(f"DROP TABLE {t}")
+
+
+def test_a_crawl_can_be_stopped(spark):
+    import threading
+    import time
+
+    class Sleepy:
+        def fetch(self, url, options):
+            time.sleep(20)
+            return response(url, 200, "text/html", "", url)
+
+    failed = []
+
+    def run():
+        with C.interruptible(spark, "slow crawl"):
+            try:
+                C.crawl(spark, ["https://s.org/1"], Sleepy(), respect_robots=False, delay=0)
+            except Exception as e:
+                failed.append(str(e))
+
+    from pyspark import InheritableThread
+
+    t = InheritableThread(target=run)
+    began = time.time()
+    t.start()
+    time.sleep(4)
+    C.interrupt(spark, "slow crawl")
+    t.join(15)
+    assert failed and "ancel" in failed[0] and time.time() - began < 19
+
+
+def test_names():
+    assert names.quote_name("a.b") == "`a`.`b`" and names.quote_name('`x.y`."z`"') == "`x.y`.`z```" and names.quote_text("it's \\") == "'it\\'s \\\\'"
+    for bad in ("", "a..b", "a;`", ".a", "`a"):
+        with pytest.raises(ValueError):
+            names.quote_name(bad)
+    assert names.valid_name("_a.b1") and not names.valid_name("1a") and not names.valid_name("a" * 129) and not names.valid_name("a-b")

@@ -9,11 +9,13 @@ whole source decide what is "not matched by source", whatever LIMIT lets through
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.names import quote_name, quote_text
 from ..session import written
 
 COUNTS = ("rows_inserted", "rows_updated", "rows_deleted")
@@ -157,17 +159,27 @@ def fresh_keys(source: DataFrame, target: DataFrame, on: list[str], fresh: str)
     return source.join(keep, on, "left_anti")
 
 
+def replace_table(spark: SparkSession, table: str, rows: DataFrame) -> None:
+    """The table holds ``rows`` from now on, which may be read from it. They are written
+    beside it and the table is pointed to them in one step of the catalog, so that it is
+    whole at any time, whatever fails."""
+    name = quote_name(table)
+    known = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {name}").collect()}
+    old = known["Location"]
+    new = f"{old.rstrip('/').rpartition('/')[0]}/{table.rpartition('.')[2].strip('`')}__{uuid.uuid4().hex}"
+    rows.write.format(known.get("Provider", "parquet")).save(new)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION {quote_text(new)}")
+    spark.catalog.refreshTable(name)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def merge_table(spark: SparkSession, table: str, merge: Merge) -> DataFrame:
     """Run a merge on a saved table: the new rows are written aside, then swapped in, so a
     failure leaves the table as it was. Returns the counts."""
     result = merge.result()
-    staged = written(result.rows, "merge-rows")
-    done = MergeResult(staged, result.columns)
-    done.target.write.mode("overwrite").format("parquet").saveAsTable(f"{table}__staged")
-    spark.sql(f"DROP TABLE IF EXISTS {table}__old")
-    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old")
-    spark.sql(f"ALTER TABLE {table}__staged RENAME TO {table}")
-    spark.sql(f"DROP TABLE {table}__old")
+    done = MergeResult(written(result.rows, "merge-rows"), result.columns)
+    replace_table(spark, table, done.target)
     return done.counts
 
 

@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import html as H
+from ..functions.urls import content_hash, surt
 from ..functions.values import TRANSFORMS, coerce, transform
-from .statement import StatementError, _inside, _split
+from .statement import StatementError, _inside, _split, _top_level
 
 SOURCES = frozenset(("jsonld", "microdata", "og", "opengraph", "meta", "js", "css", "hydration", "regex", "reader"))
 
@@ -94,21 +95,153 @@ def select_extract(df: DataFrame, html: str, clause: str, *keep: str) -> DataFra
     return df.select(*keep, *extract_columns(html, parse_extract(clause)))
 
 
-def crawl_into(spark: SparkSession, urls: DataFrame | list[str], table: str, clause: str | None = None, *, fetcher=None, limit: int | None = None, **options) -> DataFrame:
-    """Crawl, extract and append to a table: url, status, content_type, final_url, error,
-    depth and the extracted columns. Returns rows_inserted."""
+#: Options of ``WITH (...)``: our name, and what the value becomes.
+_OPTIONS: dict[str, tuple[str, Any]] = {
+    "user_agent": ("user_agent", str),
+    "timeout_seconds": ("timeout", float),
+    "max_retries": ("max_retries", int),
+    "default_crawl_delay": ("delay", lambda v: int(float(v) * 1000)),
+    "min_crawl_delay": ("least_delay", lambda v: int(float(v) * 1000)),
+    "max_crawl_delay": ("most_delay", lambda v: int(float(v) * 1000)),
+    "max_crawl_pages": ("max_results", int),
+    "max_crawl_depth": ("max_depth", int),
+    "allow_subdomains": ("allow_subdomains", lambda v: v.lower() == "true"),
+    "respect_robots_txt": ("respect_robots", lambda v: v.lower() == "true"),
+    "respect_nofollow": ("respect_nofollow", lambda v: v.lower() == "true"),
+    "accept_content_types": ("accept", lambda v: [x for x in re.split(r"\s*,\s*", v.strip()) if x]),
+    "reject_content_types": ("reject", lambda v: [x for x in re.split(r"\s*,\s*", v.strip()) if x]),
+    "max_response_bytes": ("max_response_bytes", int),
+    "max_total_connections": ("workers", int),
+    "cache_table": ("cache", str),
+}
+#: Options that steer the statement itself, or that nothing here needs.
+_OTHERS = frozenset(("follow_links", "extract_js", "update_stale", "url_filter", "sitemap_cache_hours", "log_skipped", "compress", "max_parallel_per_domain", "max_retry_backoff_seconds"))
+
+
+@dataclass
+class CrawlStatement:
+    query: str
+    table: str
+    sites: bool = False
+    extract: str | None = None
+    where: str | None = None
+    options: dict[str, str] = field(default_factory=dict)
+    limit: int | None = None
+
+    def settings(self) -> dict[str, Any]:
+        out: dict[str, Any] = {}
+        for k, v in self.options.items():
+            if k in _OPTIONS:
+                name, make = _OPTIONS[k]
+                try:
+                    out[name] = make(v)
+                except ValueError as e:
+                    raise StatementError(f"{k}: {v}") from e
+            elif k not in _OTHERS:
+                raise StatementError(f"unknown option: {k}")
+        if self.flag("follow_links"):
+            out |= {"follow": "a[href]", "same_site": True, "max_depth": out.get("max_depth", 10), "respect_nofollow": out.get("respect_nofollow", True)}
+        else:
+            out.pop("max_depth", None)
+        return out
+
+    def flag(self, name: str, default: bool = False) -> bool:
+        return self.options.get(name, str(default)).lower() == "true"
+
+
+def parse_crawl(text: str) -> CrawlStatement:
+    """``CRAWL [SITES] (query) INTO table [EXTRACT (...)] [WHERE ...] [WITH (...)] [LIMIT n]``."""
+    body = text.strip().rstrip(";")
+    flat = _top_level(body)
+    m = re.match(r"\s*CRAWL(\s+SITES)?\s*\(", body, re.I)
+    into = re.search(r"\bINTO\s+([\w.]+|`[^`]+`)", flat, re.I) or re.search(r"\bINTO\s+(`[^`]+`)", body, re.I)
+    if not m or not into:
+        raise StatementError("CRAWL (query) INTO table expected")
+    out = CrawlStatement(_inside(body[m.end() - 1 : into.start()]), into[1].strip("`"), bool(m[1]))
+    marks = [(x.start(), x.end(), x[1].upper()) for x in re.finditer(r"\b(EXTRACT|WHERE|WITH|LIMIT)\b", flat[into.end() :], re.I)]
+    rest = body[into.end() :]
+    if rest[: marks[0][0] if marks else None].strip():
+        raise StatementError(f"not expected: {rest.strip()[:40]}")
+    for (_, a, word), b in zip(marks, [*(x[0] for x in marks[1:]), len(rest)]):
+        part = rest[a:b].strip()
+        if word == "EXTRACT":
+            out.extract = f"EXTRACT {part}"
+        elif word == "WHERE":
+            out.where = part
+        elif word == "LIMIT":
+            if not part.isdigit():
+                raise StatementError(f"LIMIT {part}")
+            out.limit = int(part)
+        else:
+            for o in filter(str.strip, _split(_inside(part), ",")):
+                x = re.fullmatch(r"\s*(\w+)\s*=?\s*(?:'((?:[^']|'')*)'|([\w.+-]+))\s*", o)
+                if not x:
+                    raise StatementError(f"not an option: {o.strip()}")
+                out.options[x[1].lower()] = x[3] if x[2] is None else x[2].replace("''", "'")
+    return out
+
+
+def _crawled(got: DataFrame, clause: str | None, js: bool) -> DataFrame:
+    """The 18 columns of a crawl's table, and the extracted ones."""
+    page = F.when(F.lower(F.coalesce("content_type", F.lit("text/html"))).rlike("html"), F.col("body"))
+    cols = [
+        F.col("url"), surt("url").alias("surt_key"), F.col("status").alias("status_code"), F.col("body"), F.col("content_type"), F.current_timestamp().alias("crawled_at"), F.col("response_time_ms").alias("elapsed_ms"), F.col("error"), F.col("error_type"), F.col("final_url"),
+        F.when(F.col("final_url") != F.col("url"), 1).otherwise(0).alias("redirect_count"), F.col("etag"), F.col("last_modified"), content_hash("body").alias("content_hash"), F.to_json(H.jsonld(page)).alias("jsonld"), F.to_json(H.opengraph(page)).alias("opengraph"), F.to_json(H.meta(page)).alias("meta"),
+        (F.to_json(H.js_variables(page)) if js else F.lit(None).cast("string")).alias("js"),
+    ]
+    return got.select(*cols, *(extract_columns(page, parse_extract(clause)) if clause else []))
+
+
+def crawl_into(spark: SparkSession, urls: DataFrame | list[str], table: str, clause: str | None = None, *, fetcher=None, limit: int | None = None, js: bool = False, **options) -> DataFrame:
+    """Crawl, extract and append to a table; returns rows_inserted. ``redirect_count`` is 1
+    where the response came from another URL."""
     from ..session import written
     from ..sources.crawl import crawl
 
-    got = crawl(spark, urls, fetcher, max_results=limit, **options)
-    cols: list[Column] = [F.col(c) for c in ("url", "status", "content_type", "final_url", "error", "response_time_ms", "depth")]
-    cols.append(F.col("html.document").alias("body"))
-    if clause:
-        cols += extract_columns("html.document", parse_extract(clause))
-    rows = written(got.select(*cols, F.current_timestamp().alias("crawled_at")), "crawl-into")
+    bounds = [n for n in (limit, options.pop("max_results", None)) if n is not None]
+    got = crawl(spark, urls, fetcher, max_results=min(bounds, default=None), responses=True, **options)
+    rows = written(_crawled(got, clause, js), "crawl-into")
     if spark.catalog.tableExists(table):
         rows.select(*spark.table(table).columns).write.insertInto(table)
     else:
         rows.write.format("parquet").saveAsTable(table)
-    n = rows.count()
-    return spark.sql(f"SELECT {n}L AS rows_inserted")
+    return spark.range(1).select(F.lit(rows.count()).cast("long").alias("rows_inserted"))
+
+
+MOST_SITES = 100_000
+
+
+def run_crawl(spark: SparkSession, s: CrawlStatement, fetcher=None) -> DataFrame:
+    """Runs the statement; returns rows_inserted, and for sites rows_updated too. Sites
+    give the URLs of their sitemaps that the table lacks, and with ``update_stale`` those
+    that have changed since, new ones first."""
+    from ..operators.merge import Merge, merge_table
+    from ..session import written
+    from ..sources.crawl import crawl
+    from ..sources.sitemap import sitemap, stale
+
+    settings, js = s.settings(), s.flag("extract_js")
+    q = spark.sql(s.query)
+    urls = q.select(F.col(f"`{q.columns[0]}`").cast("string").alias("url")).na.drop()
+    if not s.sites:
+        if s.where:
+            urls = urls.where(s.where)
+        return crawl_into(spark, urls, s.table, s.extract, fetcher=fetcher, limit=s.limit, js=js, **settings)
+    hosts = [r.url for r in urls.distinct().limit(MOST_SITES + 1).collect()]
+    if len(hosts) > MOST_SITES:
+        raise StatementError(f"more than {MOST_SITES} sites")
+    sites = [h if "://" in h else f"https://{h}" for h in sorted(hosts)]
+    found = sitemap(spark, sites, fetcher, discover=True, like=s.options.get("url_filter")).dropDuplicates(["url"])
+    if s.where:
+        found = found.where(s.where)
+    if not spark.catalog.tableExists(s.table):
+        return crawl_into(spark, found.orderBy("url").select("url"), s.table, s.extract, fetcher=fetcher, limit=s.limit, js=js, **settings).withColumn("rows_updated", F.lit(0).cast("long"))
+    held = spark.table(s.table)
+    known = held.groupBy("url").agg(F.max("crawled_at").alias("crawled_at"))
+    todo = stale(found, known) if s.flag("update_stale") else found.join(known, "url", "left_anti")
+    todo = todo.join(known.select("url", F.lit(1).alias("_old")), "url", "left").orderBy(F.coalesce("_old", F.lit(0)), "url").select("url")
+    bounds = [n for n in (s.limit, settings.pop("max_results", None)) if n is not None]
+    got = crawl(spark, written(todo, "sites"), fetcher, max_results=min(bounds, default=None), responses=True, **settings)
+    rows = written(_crawled(got, s.extract, js), "crawl-sites")
+    merge = Merge(held, rows, ["url"]).when_matched_update().when_not_matched_insert()
+    return merge_table(spark, s.table, merge).select("rows_inserted", "rows_updated")

@@ -6,6 +6,7 @@ fetched twice by the same crawl.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime, timezone
 
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 from ..functions import html as H
 from ..functions.http import content_type_allowed, error_class
 from ..functions.urls import same_domain
+from ..operators.merge import replace_table
 from ..session import written
 from .fetch import RESPONSE, Fetcher, HttpFetcher, Options, fetch_all, response
 
@@ -33,7 +35,8 @@ def _numbered(spark: SparkSession, urls: Sequence[str | None]) -> DataFrame:
 
 def _raw(spark: SparkSession, rows: DataFrame, fetcher: Fetcher, options: Options, cache: str | None, cache_hours: float, workers: int | None, robots: bool | None, polite: bool = True) -> DataFrame:
     """Responses by way of the cache table: hits within the time to live are joined, the
-    rest is fetched and written back, failures too."""
+    rest is fetched and appended, failures too. Of several rows of a URL the last counts,
+    so that no round rewrites what it holds; ``compact`` drops the others."""
     if cache is None:
         return written(fetch_all(rows, fetcher, options, workers, polite, robots), "crawl")
     names = [f.name for f in RESPONSE.fields if f.name != "url"]
@@ -42,17 +45,28 @@ def _raw(spark: SparkSession, rows: DataFrame, fetcher: Fetcher, options: Option
     else:
         held = spark.createDataFrame([], CACHE)
     now = datetime.now(timezone.utc)
-    fresh = held.where(F.col("cached_at") > F.lit(now) - F.expr(f"interval {int(cache_hours * 3600)} seconds"))
+    fresh = held.where(F.col("cached_at") > F.lit(now) - F.expr(f"interval {int(cache_hours * 3600)} seconds")).join(rows.select("url"), "url", "left_semi")
+    fresh = written(_latest(fresh), "cached")
     hits = rows.join(fresh.drop("cached_at"), "url").withColumn("error_type", F.lit(None).cast("string"))
-    got = fetch_all(rows.join(fresh.select("url"), "url", "left_anti"), fetcher, options, workers, polite, robots)
-    got = written(got, "crawl")
+    got = written(fetch_all(rows.join(fresh.select("url"), "url", "left_anti"), fetcher, options, workers, polite, robots), "crawl")
     new = got.where("error_type is null").select("url", *names).dropDuplicates(["url"]).withColumn("cached_at", F.lit(now))
-    kept = written(held.join(new.select("url"), "url", "left_anti").unionByName(new), "cache")
-    hits = written(hits, "hits")
-    kept.write.mode("overwrite").format("parquet").saveAsTable(cache)
+    new.write.mode("append").format("parquet").saveAsTable(cache)
     return got.unionByName(hits)
 
 
+def _latest(cached: DataFrame) -> DataFrame:
+    rest = [c for c in cached.columns if c != "url"]
+    return cached.groupBy("url").agg(F.max_by(F.struct(*rest), "cached_at").alias("r")).select("url", "r.*").select(*cached.columns)
+
+
+def compact(spark: SparkSession, cache: str, cache_hours: float | None = None) -> None:
+    """Leaves one row for each URL of a cache table, of those within the time to live."""
+    rows = spark.table(cache)
+    if cache_hours is not None:
+        rows = rows.where(F.col("cached_at") > F.current_timestamp() - F.expr(f"interval {int(cache_hours * 3600)} seconds"))
+    replace_table(spark, cache, _latest(rows))
+
+
 def crawl(
     spark: SparkSession,
     urls: str | Sequence[str | None] | DataFrame,
@@ -61,6 +75,7 @@ def crawl(
     user_agent: str | None = None,
     timeout: float | None = None,
     workers: int | None = None,
+    batch_size: int | None = None,
     delay: int | None = None,
     respect_robots: bool | None = None,
     follow: str | None = None,
@@ -76,12 +91,22 @@ def crawl(
     reject: Sequence[str] = (),
     extract: Sequence[dict] | None = None,
     headers: dict | None = None,
+    proxy: str | None = None,
+    proxies: dict | None = None,
+    max_retries: int | None = None,
+    adaptive_delay: bool | None = None,
+    least_delay: int | None = None,
+    most_delay: int | None = None,
+    max_response_bytes: int | None = None,
+    responses: bool = False,
 ) -> DataFrame:
     """One row for each URL: url, status, content_type, html, final_url, error, extract,
     response_time_ms, depth. ``follow`` takes links by selector from pages of status 2xx
     above ``max_depth``, breadth first, each URL once. A URL that robots.txt forbids gets
-    a row with its error. ``max_results`` bounds the fetches of each round as well."""
-    options = Options.of(spark, user_agent=user_agent, timeout_ms=int(timeout * 1000) if timeout else None, delay_ms=delay, respect_robots=respect_robots, headers=headers)
+    a row with its error. ``max_results`` bounds the fetches of each round as well. With
+    ``responses`` the rows are the responses as they came: url, status, content_type, body,
+    final_url, error, error_type, response_time_ms, etag, last_modified, depth."""
+    options = Options.of(spark, user_agent=user_agent, timeout_ms=None if timeout is None else int(timeout * 1000), delay_ms=delay, respect_robots=respect_robots, headers=headers, batch_size=batch_size, proxy=proxy, proxies=proxies, max_retries=max_retries, adaptive_delay=adaptive_delay, least_delay_ms=least_delay, most_delay_ms=most_delay, max_response_bytes=max_response_bytes)
     fetcher = fetcher or HttpFetcher()
     if isinstance(urls, DataFrame):
         first = urls.select(F.col(urls.columns[0]).cast("string").alias("url")).na.drop()
@@ -118,8 +143,9 @@ def crawl(
         for r in rounds[1:]:
             seen = seen.union(r.select("url"))
         fresh = fresh.join(seen if done is None else seen.union(done), "url", "left_anti")
-        # the order of discovery becomes one number, so that it stays a number at any depth
-        frontier = written(fresh.select("url", (F.col("o.seq") * 100000 + F.col("o._pos")).alias("seq")), "frontier")
+        # the order of discovery becomes one number again: ranges in order, rows in order
+        fresh = fresh.orderBy("o.seq", "o._pos", "url").select("url", F.monotonically_increasing_id().alias("seq"))
+        frontier = written(fresh, "frontier")
         if frontier.isEmpty():
             break
     out = rounds[0]
@@ -127,17 +153,35 @@ def crawl(
         out = out.unionByName(r)
     if state_table:
         _save_state(spark, out, state_table)
+    if responses:
+        return out.select(*(f.name for f in RESPONSE.fields), F.coalesce("error_type", error_class(F.col("status"), F.col("error"))).alias("error_type"), "depth")
     body = F.coalesce("body", F.lit(""))
     value = F.to_json(H.html_extract(body, extract)) if extract else F.lit(None).cast("string")
     return out.select("url", "status", "content_type", H.html_struct(body, "content_type").alias("html"), "final_url", "error", value.alias("extract"), "response_time_ms", "depth")
 
 
 def _save_state(spark: SparkSession, rows: DataFrame, table: str) -> None:
+    """Appends what isn't there yet; a crawl fetches no other URLs."""
     new = rows.groupBy("url").agg(*(F.max_by(c, "depth").alias(c) for c in ("status", "etag", "last_modified")))
     new = new.select("url", F.col("status").alias("http_status"), F.lit(None).cast("string").alias("extracted"), F.current_timestamp().alias("crawled_at"), "etag", "last_modified")
     if spark.catalog.tableExists(table):
-        new = written(spark.table(table).join(new.select("url"), "url", "left_anti").unionByName(new), "state")
-    new.write.mode("overwrite").format("parquet").saveAsTable(table)
+        new = written(new.join(spark.table(table).select("url"), "url", "left_anti"), "state")
+    new.write.mode("append").format("parquet").saveAsTable(table)
+
+
+@contextlib.contextmanager
+def interruptible(spark: SparkSession, name: str) -> Iterator[None]:
+    """What this thread runs within can be stopped from another by ``interrupt``."""
+    spark.sparkContext.setJobGroup(name, name, interruptOnCancel=True)
+    try:
+        yield
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def interrupt(spark: SparkSession, name: str) -> None:
+    """Stops a crawl; what it has written to cache and state stays."""
+    spark.sparkContext.cancelJobGroup(name)
 
 
 def crawl_url(rows: DataFrame, url_col: str = "url", fetcher: Fetcher | None = None, *, max_results: int | None = None, cache: str | None = None, cache_ttl: float = 24, **settings) -> DataFrame:
@@ -166,7 +210,7 @@ def crawl_stream(spark: SparkSession, urls: str | Sequence[str | None], fetcher:
         frontier = q.select(F.col(f"`{q.columns[0]}`").cast("string").alias("url")).na.drop().withColumn("seq", F.monotonically_increasing_id())
     else:
         frontier = _numbered(spark, urls)
-    options = Options.of(spark, user_agent=user_agent, timeout_ms=int(timeout * 1000) if timeout else None, delay_ms=None if crawl_delay is None else int(crawl_delay * 1000), respect_robots=respect_robots_txt)
+    options = Options.of(spark, user_agent=user_agent, timeout_ms=None if timeout is None else int(timeout * 1000), delay_ms=None if crawl_delay is None else int(crawl_delay * 1000), respect_robots=respect_robots_txt)
     got = written(fetch_all(frontier, fetcher or HttpFetcher(), options, workers), "stream").where("error_type is null")
     page = F.when(F.col("status").between(200, 299) & F.lower(F.coalesce("content_type", F.lit(""))).rlike("text/html|application/xhtml"), F.col("body"))
     return got.select("url", F.col("status").alias("status_code"), "content_type", "body", F.coalesce("error", F.lit("")).alias("error"), "response_time_ms", F.octet_length(F.coalesce("body", F.lit(""))).cast("long").alias("content_length"), F.to_json(H.jsonld(page)).alias("jsonld"), F.to_json(H.opengraph(page)).alias("opengraph"), F.lit("").alias("meta"))

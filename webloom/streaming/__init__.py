@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.http import AdaptiveDelay
-from ..operators.merge import Merge, keyed_overwrite
+from ..operators.merge import Merge, merge_table
 from ..session import written
 
 
@@ -73,7 +73,7 @@ def merge_stream(rows: DataFrame, table: str, key: str, checkpoint: str, order:
         if not spark.catalog.tableExists(table):
             batch.limit(0).write.format("parquet").saveAsTable(table)
         m = Merge(spark.table(table), batch, [key], order=order).when_matched_update().when_not_matched_insert()
-        written(m.result().target, "merge-stream").write.mode("overwrite").format("parquet").saveAsTable(table)
+        merge_table(spark, table, m)
 
     return rows.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -86,11 +86,8 @@ def crawl_frontier(urls: DataFrame, fetch: Callable[[DataFrame], DataFrame], tab
         spark = batch.sparkSession
         new = batch.select("url").na.drop().distinct()
         if spark.catalog.tableExists(table):
-            held = spark.table(table)
-            got = written(fetch(new.join(held.select("url"), "url", "left_anti")), "frontier")
-            out = written(keyed_overwrite(held, got, "url"), "frontier")
-        else:
-            out = fetch(new)
-        out.write.mode("overwrite").format("parquet").saveAsTable(table)
+            # only what is new is written, so a batch costs what it holds
+            new = written(new.join(spark.table(table).select("url"), "url", "left_anti"), "frontier")
+        fetch(new).write.mode("append").format("parquet").saveAsTable(table)
 
     return urls.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
