@@ -7,8 +7,8 @@ Null in, null out. What "no match" gives is said by each function.
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Callable, Sequence
-from functools import lru_cache
 from typing import Any
 
 import pandas as pd
@@ -27,10 +27,25 @@ HTML = T.StructType([T.StructField("document", T.StringType()), T.StructField("j
 STRINGS = T.ArrayType(T.StringType())
 
 
-@lru_cache(4)
+#: Characters of the pages that stay parsed: more than a batch of ``session.page_batches``.
+KEPT = 3 << 20
+_parsed: OrderedDict[str, Page] = OrderedDict()
+_size = 0
+
+
 def page(html: str) -> Page:
-    """The last pages stay parsed, for rows that repeat and arguments of one row."""
-    return Page(html)
+    """A worker runs the functions of one page over a whole batch, one after another; the
+    last pages stay parsed, so that all of them read the same tree."""
+    global _size
+    found = _parsed.get(html)
+    if found is None:
+        found = _parsed[html] = Page(html)
+        _size += len(html)
+        while _size > KEPT and len(_parsed) > 1:
+            _size -= len(_parsed.popitem(last=False)[0])
+    else:
+        _parsed.move_to_end(html)
+    return found
 
 
 def _col(c: Column | str) -> Column:

@@ -13,6 +13,7 @@ from .functions import http, urls, values
 from .functions.robots import robots_allowed, sitemap_lines
 from .operators.merge import Merge, fresh_keys
 from .plans.extract_clause import select_extract
+from .session import page_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,7 +31,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    df = spark.read.parquet(f"{d}/{name}.parquet")
+    return page_batches(df) if name == "pages" else df
 
 
 _HOST = r"lower(regexp_extract(url, '^[^/]*?://([^/:?#]*)', 1))"
@@ -129,24 +131,14 @@ def js_variables(spark, d):
     return _t(spark, d, "pages").select("page_id", H.js_variables("html")["t"].alias("t"))
 
 
-@query(f"""
-SELECT page_id, pos - 1 AS pos, regexp_extract(url, '^([^/]*//[^/?#]*)', 1) || hrefs[pos] AS link
-FROM (SELECT page_id, url, hrefs, unnest(range(1, len(hrefs) + 1)) AS pos FROM (SELECT page_id, url, {_HREFS} AS hrefs FROM pages))
-WHERE regexp_full_match(hrefs[pos], '[ -~]*')""")
-def links(spark, d):
-    p = _t(spark, d, "pages")
-    out = p.select("page_id", F.posexplode(H.links("html", "url")).alias("pos", "link"))
-    return out.where(~F.contains("link", F.lit("%"))).select("page_id", F.col("pos").cast("long").alias("pos"), "link")
-
-
-# The SQL of ``links`` keeps hrefs of printable ASCII alone; this one is over every link.
+# Percent-encoding of what isn't printable ASCII.
 _ENCODED = "array_to_string(list_transform(string_split({}, ''), lambda c: CASE WHEN regexp_full_match(c, '[!-~]') AND c NOT IN ('\"', '<', '>', '`') THEN c ELSE url_encode(c) END), '')"
 
 
 @query(f"""
 SELECT page_id, pos - 1 AS pos, regexp_extract(url, '^([^/]*//[^/?#]*)', 1) || {_ENCODED.format("hrefs[pos]")} AS link
 FROM (SELECT page_id, url, hrefs, unnest(range(1, len(hrefs) + 1)) AS pos FROM (SELECT page_id, url, {_HREFS} AS hrefs FROM pages))""")
-def links_whole(spark, d):
+def links(spark, d):
     out = _t(spark, d, "pages").select("page_id", F.posexplode(H.links("html", "url")).alias("pos", "link"))
     return out.select("page_id", F.col("pos").cast("long").alias("pos"), "link")
 
@@ -219,19 +211,19 @@ def content_types(spark, d):
     return p.select("page_id", "kind", http.content_type_allowed(F.col("kind"), ["text/*", "application/pdf"], ["text/css"]).alias("allowed"))
 
 
-# K/M: upsert. Target and source are cut from one table, so that both sides have rows of
-# their own.
+# K/M: upsert. All orders are the target, and the source, with keys doubled so that either
+# side has rows of its own.
 
 _MERGE_CTE = """
-WITH t AS (SELECT o_orderkey AS k, o_totalprice AS v, o_orderstatus AS s FROM orders WHERE o_orderkey % 3 <> 0),
-s AS (SELECT o_orderkey AS k, o_totalprice + 1 AS v, 'N' AS s FROM orders WHERE o_orderkey % 2 = 0),
+WITH t AS (SELECT o_orderkey AS k, o_totalprice AS v, o_orderstatus AS s FROM orders),
+s AS (SELECT o_orderkey * 2 AS k, o_totalprice + 1 AS v, 'N' AS s FROM orders),
 j AS (SELECT coalesce(t.k, s.k) AS k, t.k AS tk, s.k AS sk, t.v AS tv, s.v AS sv, t.s AS ts, s.s AS ss FROM t FULL JOIN s ON t.k = s.k)"""
 
 
 def _merge(spark, d):
     o = _t(spark, d, "orders")
-    t = o.where("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"), F.col("o_orderstatus").alias("s"))
-    s = o.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("k"), (F.col("o_totalprice") + 1).alias("v"), F.lit("N").alias("s"), F.col("o_orderkey").alias("o"))
+    t = o.select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"), F.col("o_orderstatus").alias("s"))
+    s = o.select((F.col("o_orderkey") * 2).alias("k"), (F.col("o_totalprice") + 1).alias("v"), F.lit("N").alias("s"), F.col("o_orderkey").alias("o"))
     return Merge(t, s, ["k"], order="o")
 
 
@@ -251,50 +243,12 @@ def merge_counts(spark, d):
     return _merge(spark, d).when_matched_update().when_not_matched_insert().when_not_matched_by_source_delete().result().counts
 
 
-@query("SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 2 = 0 AND NOT (o_orderkey % 3 <> 0 AND o_totalprice > 100000)")
+@query(_MERGE_CTE + " SELECT k FROM j WHERE sk IS NOT NULL AND NOT coalesce(tv > 100000, false)")
 def fresh_key_pushdown(spark, d):
     m = _merge(spark, d)
     return fresh_keys(m.source, m.target, ["k"], "v > 100000").select("k")
 
 
-# The same over whole tables: all orders are the target, and the source, with keys doubled
-# so that either side has rows of its own.
-
-_WHOLE_CTE = """
-WITH t AS (SELECT o_orderkey AS k, o_totalprice AS v, o_orderstatus AS s FROM orders),
-s AS (SELECT o_orderkey * 2 AS k, o_totalprice + 1 AS v, 'N' AS s FROM orders),
-j AS (SELECT coalesce(t.k, s.k) AS k, t.k AS tk, s.k AS sk, t.v AS tv, s.v AS sv, t.s AS ts, s.s AS ss FROM t FULL JOIN s ON t.k = s.k)"""
-
-
-def _merge_whole(spark, d):
-    o = _t(spark, d, "orders")
-    t = o.select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"), F.col("o_orderstatus").alias("s"))
-    s = o.select((F.col("o_orderkey") * 2).alias("k"), (F.col("o_totalprice") + 1).alias("v"), F.lit("N").alias("s"), F.col("o_orderkey").alias("o"))
-    return Merge(t, s, ["k"], order="o")
-
-
-@query(_WHOLE_CTE + " SELECT k, CASE WHEN sk IS NOT NULL THEN sv ELSE tv END AS v, CASE WHEN sk IS NOT NULL THEN ss ELSE ts END AS s FROM j")
-def merge_upsert_whole(spark, d):
-    return _merge_whole(spark, d).when_matched_update().when_not_matched_insert().result().target
-
-
-@query(_WHOLE_CTE + " SELECT k, CASE WHEN tk IS NOT NULL AND sk IS NOT NULL AND ts = 'O' THEN sv ELSE tv END AS v, CASE WHEN tk IS NOT NULL AND sk IS NULL THEN 'X' WHEN tk IS NOT NULL AND sk IS NOT NULL AND ts = 'O' THEN ss ELSE ts END AS s FROM j WHERE tk IS NOT NULL AND NOT (sk IS NOT NULL AND ts = 'F')")
-def merge_clauses_whole(spark, d):
-    m = _merge_whole(spark, d).when_matched_update("target.s = 'O'").when_matched_delete("target.s = 'F'").when_not_matched_by_source_update({"s": "'X'"})
-    return m.result().target
-
-
-@query(_WHOLE_CTE + " SELECT count(*) FILTER (tk IS NULL)::BIGINT AS rows_inserted, count(*) FILTER (tk IS NOT NULL AND sk IS NOT NULL)::BIGINT AS rows_updated, count(*) FILTER (sk IS NULL)::BIGINT AS rows_deleted FROM j")
-def merge_counts_whole(spark, d):
-    return _merge_whole(spark, d).when_matched_update().when_not_matched_insert().when_not_matched_by_source_delete().result().counts
-
-
-@query(_WHOLE_CTE + " SELECT k FROM j WHERE sk IS NOT NULL AND NOT coalesce(tv > 100000, false)")
-def fresh_key_pushdown_whole(spark, d):
-    m = _merge_whole(spark, d)
-    return fresh_keys(m.source, m.target, ["k"], "v > 100000").select("k")
-
-
 # relational parity
 
 
@@ -315,9 +269,10 @@ def join_nations(spark, d):
     return j.groupBy("n_name").agg(F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT p_partkey FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity >= 50)")
 def anti_join(spark, d):
-    return _t(spark, d, "customer").join(_t(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+    big = _t(spark, d, "lineitem").where("l_quantity >= 50")
+    return _t(spark, d, "part").join(big, F.col("p_partkey") == F.col("l_partkey"), "left_anti").select("p_partkey")
 
 
 @query("""

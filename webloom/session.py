@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: list[str] = []
+BATCH = 2 << 20
 
 
 def local_session(cpus: int = 8, memory: str = "8g", **conf: str) -> SparkSession:
@@ -55,3 +56,15 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     path = f"{shared_dir(spark)}/webloom/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def page_batches(df: DataFrame) -> DataFrame:
+    """``df`` ready for the functions of pages: batches of bounded bytes for the workers,
+    where the session sets no bound of its own, and at least a partition for each core (a
+    small file is one partition, whatever its pages cost)."""
+    spark = df.sparkSession
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None or int(spark.conf.get(name)) > 64 << 20:
+        spark.conf.set(name, str(BATCH))
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
