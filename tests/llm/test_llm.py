@@ -890,3 +890,30 @@ def test_profiles_are_whole_documents_within_their_bounds(spark):
     assert list(got) == ["aa", "bb", "odd0"] and len(got["aa"].split()) == 100 and len(got["bb"].split()) == 80
     few = langid.profiles(docs, docs.select("doc_id"), max_bytes=2000, docs_per_language=2)
     assert all(len(b.split()) == 40 for k, b in few.items() if k in ("aa", "bb")) and len(few) == 11
+
+
+# SQL counterparts
+
+
+def test_queries_against_sql(spark):
+    import os
+
+    import duckdb
+
+    from webloom.llm.queries import ORACLES, QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    c = duckdb.connect()
+    for f in os.listdir(sf):
+        c.execute(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{sf}/{f}'")
+    for name, sql in ORACLES.items():
+        df = QUERIES[name](spark, sf)
+        cols = sorted(df.columns)
+        got = sorted(tuple(repr(round(r[x], 9) if isinstance(r[x], float) else r[x]) for x in cols) for r in df.collect())
+        cur = c.execute(sql)
+        names = [d[0] for d in cur.description]
+        assert sorted(names) == cols, name
+        want = sorted(tuple(repr(round(v, 9) if isinstance(v, float) else v) for v in (r[names.index(x)] for x in cols)) for r in cur.fetchall())
+        assert got == want and got, name
+    links = QUERIES["embedding_links_of_copies"](spark, sf)
+    assert {r.links for r in links.collect()} >= {2} and links.where("vec_id < 1000000000 and links < 2").count() == 0
