@@ -86,3 +86,34 @@ def test_crawl_statement(spark):
     for bad in ("CRAWL (SELECT 1)", "CRAWL (SELECT 1) INTO t WITH (nope 1)", "CRAWL (SELECT 1) INTO t LIMIT x", "CRAWL (SELECT 1) INTO t what", "CRAWL (SELECT 1) INTO t WITH (timeout_seconds soon)"):
         with pytest.raises(StatementError):
             parse_crawl(bad).settings()
+
+
+def test_extract_proposals(spark):
+    html = """<html><body><h1 class="t big">Tea <b>x</b></h1><ul id=c><li>a</li><li> b </li></ul><p data-p="7">2,5 kg</p><i class=p>12,99 kr</i></body></html>"""
+    df = spark.createDataFrame([(1, html), (2, "<p>other")], "k int, html string")
+    clause = """EXTRACT (name TEXT FROM jsonld 'Product.name' OR xpath '//h1[contains(@class, "t")]/text()' REQUIRED, items TEXT[] FROM css 'li::text', line TEXT FROM css 'li::text' TRANSFORM join_array SEPARATOR ' / ',
+      p INTEGER FROM attr 'p' 'data-p', grams DECIMAL(9,2) FROM css 'p::text' TRANSFORM normalize_quantity, cur TEXT FROM meta 'currency' DEFAULT 'EUR', second TEXT FROM xpath '/html/body/ul[@id="c"]/li[2]/text()', price DECIMAL(9,2) FROM css '.p::text' | parse_price DEFAULT 0, brand TEXT FROM jsonld 'X.y' OR css 'h1 b::text' WARN_FALLBACK)"""
+    rows = select_extract(df, "html", clause, "k").collect()
+    assert len(rows) == 1
+    r = rows[0]
+    assert (r.name, r["items"], r.line, r.p, float(r.grams), r.cur, r.second, float(r.price), r.brand) == ("Tea", ["a", "b"], "a / b", 7, 2500.0, "EUR", "b", 12.99, "x")
+    import json
+
+    note = json.loads(r._extraction_meta)
+    assert note["brand"] == {"source": "css", "success": True, "fallback": True} and note["items"]["fallback"] is False and note["cur"]["success"] is False
+    for bad in ("EXTRACT (a TEXT FROM css 'x' TRANSFORM nope)", "EXTRACT (a TEXT FROM css 'x' DEFAULT)", "EXTRACT (a TEXT FROM xpath 'x[')"):
+        with pytest.raises(StatementError):
+            parse_extract(bad)
+
+
+def test_xpath():
+    from webloom.functions.dom import parse
+    from webloom.functions.xpath import XPathError, select
+
+    root = parse('<div><p id="a">x<b>1</b></p><p id="b" class="k">y</p></div><div><p>z</p><a href="/1">l</a></div>')
+    texts = lambda p: [v if isinstance(v, str) else v.text() for v in select(root, p)]
+    assert texts("//p") == ["x1", "y", "z"] and texts("//p[1]") == ["x1", "z"] and texts("//div/p[last()]/text()") == ["y", "z"] and texts("//p[@id and @class='k']") == ["y"]
+    assert texts("//a/@href") == ["/1"] and texts("//p[text()='x']/b") == ["1"] and texts("//b/../@id") == ["a"] and texts("//*[contains(text(), 'y')]/@class") == ["k"] and texts("//q") == []
+    for bad in ("", "p", "//p[", "//text()/p", "//p[foo()]"):
+        with pytest.raises(XPathError):
+            select(root, bad)

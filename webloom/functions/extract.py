@@ -14,6 +14,7 @@ from urllib.parse import urljoin, urlsplit
 from .dom import Element, parse
 from .jsvars import js_variables, tokens, ScriptError
 from .selectors import SelectorError, compile_selector
+from .xpath import select as xpath_select
 
 MISS = object()
 HYDRATION = ("__NEXT_DATA__", "__NUXT__", "__INITIAL_STATE__", "__PRELOADED_STATE__", "__DATA__", "__APOLLO_STATE__", "__RELAY_STORE__", "__REDUX_STATE__")
@@ -402,6 +403,20 @@ class Page:
             return None
         return dumps(v)
 
+    @staticmethod
+    def _of(e: Element, accessor: str) -> str | None:
+        if accessor.startswith("attr:"):
+            return e.attrs.get(accessor[5:])
+        return e.outer_html() if accessor == "html" else e.text().strip()
+
+    def extract_noted(self, spec: dict) -> tuple[str | None, int]:
+        """The value, and which of the specification and its alternatives gave it (-1: none)."""
+        for k, one in enumerate([{**spec, "alternatives": []}, *(spec.get("alternatives") or [])]):
+            v = self.extract(one)
+            if v is not None:
+                return v, k
+        return None, -1
+
     def expanded(self, spec: dict) -> list[str]:
         """Elements of an array specification; of their ``array_field`` where it is set."""
         v = loads(self._single(spec) or "")
@@ -426,8 +441,14 @@ class Page:
             out = self.opengraph.get(path[0]) if path else None
         elif source == "meta":
             out = self.meta.get(path[0]) if path else None
+        elif source == "css" and spec.get("all"):
+            found = [self._of(e, spec.get("accessor") or "text") for e in self.all(spec.get("selector") or "")]
+            out = dumps([v for v in found if v is not None]) if found else None
         elif source == "css":
             out = self.css(spec.get("selector") or "", spec.get("accessor") or "text")
+        elif source == "xpath":
+            found = [v if isinstance(v, str) else v.outer_html() for v in xpath_select(self.root, spec.get("selector") or "")]
+            out = None if not found else dumps([v.strip() for v in found]) if spec.get("all") else found[0].strip()
         elif source == "regex":
             m = re.search(spec.get("selector") or "(?!)", self.html)
             out = (m[1] if m.re.groups else m[0]) if m else None

@@ -311,7 +311,15 @@ def html_extract(html: Column | str, specs: Sequence[dict]) -> Column:
     """Map of alias to the value of each specification (see ``Page.extract``)."""
 
     def extract(html: str) -> dict[str, str | None]:
-        return {s["alias"]: page(html).extract(s) for s in specs}
+        p = page(html)
+        out: dict[str, str | None] = {}
+        for s in specs:
+            if s.get("noted"):
+                out[s["alias"]], k = p.extract_noted(s)
+                out[f"{s['alias']}#source"] = str(k)
+            else:
+                out[s["alias"]] = p.extract(s)
+        return out
 
     return row_udf(extract, JSON_MAP)(_col(html))
 

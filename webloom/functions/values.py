@@ -42,7 +42,23 @@ TRANSFORMS = {
     "parse_unit": lambda c: F.nullif(F.regexp_extract(c, r"\d\s*(kg|g|mg|l|cl|ml|dl|st|pcs?)\b", 1), F.lit("")),
     "parse_stock": lambda c: ~F.lower(c).rlike(r"out of stock|sold out|unavailable|outofstock"),
 }
-TRANSFORMS["normalize_quantity"] = lambda c: TRANSFORMS["parse_quantity"](F.replace(c, F.lit(","), F.lit(".")))
+
+
+def normalize_quantity(c: Column) -> Column:
+    """In grams, millilitres or pieces: ``2kg`` -> ``2000``."""
+    n = F.replace(TRANSFORMS["parse_quantity"](c), F.lit(","), F.lit(".")).try_cast("decimal(18,6)")
+    unit = F.lower(TRANSFORMS["parse_unit"](c))
+    size = F.when(unit.isin("kg", "l"), 1000).when(unit == "mg", F.lit(0.001)).when(unit == "cl", 10).when(unit == "dl", 100).otherwise(1)
+    return F.regexp_replace((n * size.cast("decimal(12,3)")).cast("string"), r"\.?0+$", "")
+
+
+def join_array(c: Column, separator: str = ", ") -> Column:
+    """A JSON array of texts as one text."""
+    return F.array_join(F.from_json(c, "array<string>"), separator)
+
+
+TRANSFORMS["normalize_quantity"] = normalize_quantity
+TRANSFORMS["join_array"] = join_array
 
 
 def transform(c: Column, *names: str) -> Column:
@@ -55,6 +71,8 @@ def coerce(c: Column, kind: str) -> Column:
     """DECIMAL keeps digits, point and minus, INTEGER digits and minus, BOOLEAN reads
     true/false, yes/no, 1/0, on/off; what doesn't parse is null."""
     kind = kind.upper()
+    if kind.endswith("[]"):
+        return F.from_json(c, "array<string>")
     if kind.startswith("DECIMAL"):
         return F.regexp_replace(c, r"[^0-9.\-]", "").try_cast(kind.lower() if "(" in kind else "decimal(18,4)")
     if kind in ("INTEGER", "INT", "BIGINT"):

@@ -1,8 +1,11 @@
 """The ``EXTRACT (...)`` clause and the ``CRAWL`` builder.
 
 An item is ``source.path``, ``source 'selector'`` or ``COALESCE(item, ...)``, followed by
-``AS name`` — or ``name [TYPE] FROM source 'selector' | transform | ...``. A css selector
-may end in ``::text``, ``::html`` or ``::attr(x)``; without it the outer HTML is taken.
+``AS name`` — or ``name [TYPE] FROM source 'selector' [OR source 'selector' ...]`` with ``|
+transform`` or ``TRANSFORM transform [SEPARATOR 's']``, ``DEFAULT value``, ``REQUIRED`` and
+``WARN_FALLBACK`` behind it. A css selector may end in ``::text``, ``::html`` or
+``::attr(x)``; without it the outer HTML is taken. With a type such as ``TEXT[]``, or for
+``join_array``, all matches are taken.
 """
 
 from __future__ import annotations
@@ -16,10 +19,11 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions.urls import content_hash, surt
-from ..functions.values import TRANSFORMS, coerce, transform
+from ..functions.values import TRANSFORMS, coerce, join_array, transform
+from ..functions.xpath import XPathError, steps_of
 from .statement import StatementError, _inside, _split, _top_level
 
-SOURCES = frozenset(("jsonld", "microdata", "og", "opengraph", "meta", "js", "css", "hydration", "regex", "reader"))
+SOURCES = frozenset(("jsonld", "microdata", "og", "opengraph", "meta", "js", "css", "hydration", "regex", "reader", "xpath", "attr"))
 
 
 def _css(selector: str) -> dict[str, Any]:
@@ -35,13 +39,21 @@ def _source(text: str) -> dict[str, Any]:
     if m:
         first, *rest = [_source(p) for p in _split(_inside(m[1]), ",")]
         return first | {"alternatives": rest}
+    m = re.fullmatch(r"attr\s*'((?:[^']|'')*)'\s*'((?:[^']|'')*)'", s, re.S | re.I)
+    if m:
+        return {"source": "css", "selector": m[1].replace("''", "'"), "accessor": f"attr:{m[2]}"}
     m = re.fullmatch(r"(\w+)\s*'((?:[^']|'')*)'", s, re.S)
     if m and m[1].lower() in SOURCES:
         name, value = m[1].lower(), m[2].replace("''", "'")
         if name == "css":
             return {"source": "css", **_css(value)}
-        if name == "regex":
-            return {"source": "regex", "selector": value}
+        if name in ("regex", "xpath"):
+            if name == "xpath":
+                try:
+                    steps_of(value)
+                except XPathError as e:
+                    raise StatementError(str(e)) from e
+            return {"source": name, "selector": value}
         return {"source": "og" if name == "opengraph" else name, "path": _steps(value)}
     m = re.fullmatch(r"(\w+)\s*\.\s*(.+)", s, re.S)
     if m and m[1].lower() in SOURCES:
@@ -59,40 +71,109 @@ class Item:
     spec: dict[str, Any]
     kind: str | None = None
     transforms: list[str] = field(default_factory=list)
+    separator: str = ", "
+    default: str | None = None
+    required: bool = False
+    noted: bool = False
 
 
 def parse_extract(text: str) -> list[Item]:
     body = re.sub(r"^\s*EXTRACT\s*", "", text.strip(), flags=re.I)
-    out = []
-    for part in _split(_inside(body), ","):
-        head, *pipes = _split(part, r"\|")
-        names = [p.strip() for p in pipes]
-        for n in names:
-            if n not in TRANSFORMS:
-                raise StatementError(f"unknown transform: {n}")
-        m = re.fullmatch(r"\s*(\w+)(?:\s+([A-Za-z]+(?:\s*\([\d\s,]+\))?))?\s+FROM\s+(.+)", head, re.S | re.I)
-        if m:
-            out.append(Item(m[1], _source(m[3]), m[2], names))
-            continue
+    return [_item(part) for part in _split(_inside(body), ",")]
+
+
+def _item(part: str) -> Item:
+    head, *pipes = _split(part, r"\|")
+    names, more = [], {}
+    for k, p in enumerate(pipes):
+        name, _, tail = p.strip().partition(" ")
+        names.append(name)
+        more |= _tail(tail, names) if k == len(pipes) - 1 else {}
+    m = re.fullmatch(r"\s*(\w+)(?:\s+([A-Za-z]+(?:\s*\([\d\s,]+\))?(?:\[\])?))?\s+FROM\s+(.+)", head, re.S | re.I)
+    if m:
+        flat = _top_level(m[3])
+        at = re.search(r"\b(?:TRANSFORM|DEFAULT|REQUIRED|WARN_FALLBACK)\b", flat, re.I)
+        body = m[3][: at.start()] if at else m[3]
+        if at:
+            more |= _tail(m[3][at.start() :], names)
+        first, *rest = [_source(x) for x in _split(body, r"\bOR\b")]
+        spec = first | ({"alternatives": [*first.get("alternatives", []), *rest]} if rest else {})
+        out = Item(m[1], spec, m[2], names, **more)
+    else:
         sides = _split(head, r"\bAS\b")
         spec = _source(sides[0])
         name = sides[1].strip() if len(sides) == 2 else (spec.get("path") or ["value"])[-1]
-        out.append(Item(name, spec, None, names))
+        out = Item(name, spec, None, names, **more)
+    for n in names:
+        if n not in TRANSFORMS:
+            raise StatementError(f"unknown transform: {n}")
+    if (out.kind or "").endswith("[]") or "join_array" in names:
+        for one in (out.spec, *out.spec.get("alternatives", [])):
+            one["all"] = True
     return out
 
 
-def extract_columns(html: Column | str, items: list[Item]) -> list[Column]:
-    """One parse for all items; transforms and casts are built-in functions."""
-    m = H.html_extract(html, [i.spec | {"alias": i.name} for i in items])
+def _tail(text: str, names: list[str]) -> dict[str, Any]:
+    """What follows the source: ``TRANSFORM x [SEPARATOR 's']``, ``DEFAULT v``, flags."""
+    out: dict[str, Any] = {}
+    rest = text.strip()
+    while rest:
+        m = re.match(r"TRANSFORM\s+(\w+)|SEPARATOR\s+'((?:[^']|'')*)'|DEFAULT\s+(?:'((?:[^']|'')*)'|([\w.+-]+))|(REQUIRED)\b|(WARN_FALLBACK)\b", rest, re.I)
+        if not m:
+            raise StatementError(f"not expected: {rest[:40]}")
+        if m[1]:
+            names.append(m[1])
+        elif m[2] is not None:
+            out["separator"] = m[2].replace("''", "'")
+        elif m[5]:
+            out["required"] = True
+        elif m[6]:
+            out["noted"] = True
+        else:
+            out["default"] = m[4] if m[3] is None else m[3].replace("''", "'")
+        rest = rest[m.end() :].strip()
+    return out
+
+
+def extract_columns(html: Column | str, items: list[Item], notes: bool = False) -> list[Column]:
+    """One parse for all items; transforms and casts are built-in functions. With ``notes``
+    there is a last column ``_extraction_meta``: for each item its source, whether there was
+    a value and whether it came from an alternative, as JSON."""
+    noted = notes or any(i.noted for i in items)
+    m = H.html_extract(html, [i.spec | {"alias": i.name, "noted": noted} for i in items])
     out = []
     for i in items:
-        c = transform(m[i.name], *i.transforms)
+        c = m[i.name]
+        for t in i.transforms:
+            c = join_array(c, i.separator) if t == "join_array" else transform(c, t)
+        if i.default is not None:
+            c = F.coalesce(c, F.lit(i.default))
         out.append((coerce(c, i.kind) if i.kind else c).alias(i.name))
+    if noted:
+        about = []
+        for i in items:
+            k = m[f"{i.name}#source"].cast("int")
+            sources = F.array(*(F.lit(x["source"]) for x in (i.spec, *i.spec.get("alternatives", []))))
+            about.append(F.struct(F.get(sources, F.greatest(k, F.lit(0))).alias("source"), (k >= 0).alias("success"), (k > 0).alias("fallback")).alias(i.name))
+        out.append(F.to_json(F.struct(*about)).alias("_extraction_meta"))
     return out
 
 
+def missing(items: list[Item]) -> Column | None:
+    """Names of the REQUIRED items that have no value, or null where none is missing."""
+    need = [i for i in items if i.required]
+    if not need:
+        return None
+    names = F.concat_ws(", ", *(F.when(F.col(f"`{i.name}`").isNull(), F.lit(i.name)) for i in need))
+    return F.when(names != "", names)
+
+
 def select_extract(df: DataFrame, html: str, clause: str, *keep: str) -> DataFrame:
-    return df.select(*keep, *extract_columns(html, parse_extract(clause)))
+    """``keep`` and the items; rows without a REQUIRED value are left out."""
+    items = parse_extract(clause)
+    out = df.select(*keep, *extract_columns(html, items))
+    lack = missing(items)
+    return out if lack is None else out.where(lack.isNull())
 
 
 #: Options of ``WITH (...)``: our name, and what the value becomes.
@@ -115,7 +196,7 @@ _OPTIONS: dict[str, tuple[str, Any]] = {
     "cache_table": ("cache", str),
 }
 #: Options that steer the statement itself, or that nothing here needs.
-_OTHERS = frozenset(("follow_links", "extract_js", "update_stale", "url_filter", "sitemap_cache_hours", "log_skipped", "compress", "max_parallel_per_domain", "max_retry_backoff_seconds"))
+_OTHERS = frozenset(("include_extraction_meta", "follow_links", "extract_js", "update_stale", "url_filter", "sitemap_cache_hours", "log_skipped", "compress", "max_parallel_per_domain", "max_retry_backoff_seconds"))
 
 
 @dataclass
@@ -181,7 +262,7 @@ def parse_crawl(text: str) -> CrawlStatement:
     return out
 
 
-def _crawled(got: DataFrame, clause: str | None, js: bool) -> DataFrame:
+def _crawled(got: DataFrame, clause: str | None, js: bool, notes: bool = False) -> DataFrame:
     """The 18 columns of a crawl's table, and the extracted ones."""
     page = F.when(F.lower(F.coalesce("content_type", F.lit("text/html"))).rlike("html"), F.col("body"))
     cols = [
@@ -189,10 +270,14 @@ def _crawled(got: DataFrame, clause: str | None, js: bool) -> DataFrame:
         F.when(F.col("final_url") != F.col("url"), 1).otherwise(0).alias("redirect_count"), F.col("etag"), F.col("last_modified"), content_hash("body").alias("content_hash"), F.to_json(H.jsonld(page)).alias("jsonld"), F.to_json(H.opengraph(page)).alias("opengraph"), F.to_json(H.meta(page)).alias("meta"),
         (F.to_json(H.js_variables(page)) if js else F.lit(None).cast("string")).alias("js"),
     ]
-    return got.select(*cols, *(extract_columns(page, parse_extract(clause)) if clause else []))
+    items = parse_extract(clause) if clause else []
+    out = got.select(*cols, *(extract_columns(page, items, notes) if items else []))
+    lack = missing(items)
+    # a page without a required value is kept, and says so
+    return out if lack is None else out.withColumn("error", F.coalesce("error", F.concat(F.lit("missing: "), lack)))
 
 
-def crawl_into(spark: SparkSession, urls: DataFrame | list[str], table: str, clause: str | None = None, *, fetcher=None, limit: int | None = None, js: bool = False, **options) -> DataFrame:
+def crawl_into(spark: SparkSession, urls: DataFrame | list[str], table: str, clause: str | None = None, *, fetcher=None, limit: int | None = None, js: bool = False, notes: bool = False, **options) -> DataFrame:
     """Crawl, extract and append to a table; returns rows_inserted. ``redirect_count`` is 1
     where the response came from another URL."""
     from ..session import written
@@ -200,7 +285,7 @@ def crawl_into(spark: SparkSession, urls: DataFrame | list[str], table: str, cla
 
     bounds = [n for n in (limit, options.pop("max_results", None)) if n is not None]
     got = crawl(spark, urls, fetcher, max_results=min(bounds, default=None), responses=True, **options)
-    rows = written(_crawled(got, clause, js), "crawl-into")
+    rows = written(_crawled(got, clause, js, notes), "crawl-into")
     if spark.catalog.tableExists(table):
         rows.select(*spark.table(table).columns).write.insertInto(table)
     else:
@@ -221,6 +306,7 @@ def run_crawl(spark: SparkSession, s: CrawlStatement, fetcher=None) -> DataFrame
     from ..sources.sitemap import sitemap, stale
 
     settings, js = s.settings(), s.flag("extract_js")
+    settings["notes"] = notes = s.flag("include_extraction_meta")
     q = spark.sql(s.query)
     urls = q.select(F.col(f"`{q.columns[0]}`").cast("string").alias("url")).na.drop()
     if not s.sites:
@@ -238,10 +324,11 @@ def run_crawl(spark: SparkSession, s: CrawlStatement, fetcher=None) -> DataFrame
         return crawl_into(spark, found.orderBy("url").select("url"), s.table, s.extract, fetcher=fetcher, limit=s.limit, js=js, **settings).withColumn("rows_updated", F.lit(0).cast("long"))
     held = spark.table(s.table)
     known = held.groupBy("url").agg(F.max("crawled_at").alias("crawled_at"))
+    del settings["notes"]
     todo = stale(found, known) if s.flag("update_stale") else found.join(known, "url", "left_anti")
     todo = todo.join(known.select("url", F.lit(1).alias("_old")), "url", "left").orderBy(F.coalesce("_old", F.lit(0)), "url").select("url")
     bounds = [n for n in (s.limit, settings.pop("max_results", None)) if n is not None]
     got = crawl(spark, written(todo, "sites"), fetcher, max_results=min(bounds, default=None), responses=True, **settings)
-    rows = written(_crawled(got, s.extract, js), "crawl-sites")
+    rows = written(_crawled(got, s.extract, js, notes), "crawl-sites")
     merge = Merge(held, rows, ["url"]).when_matched_update().when_not_matched_insert()
     return merge_table(spark, s.table, merge).select("rows_inserted", "rows_updated")
