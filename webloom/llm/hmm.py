@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batches, content_key, discard, mix64, pick, shuffles_dropped, words_of, written
+from .common import batches, bucketed, content_key, discard, mix64, pick, shuffles_dropped, words_of, written
 
 STATES, VOCABULARY, RARE, SEGMENT = 6, 30000, 256, 128
 #: Words of a block, of a row of it, and of the texts that the training starts from.
@@ -93,7 +93,7 @@ def _grid(bounds: np.ndarray, flat: np.ndarray) -> Iterator[tuple[np.ndarray, np
     at = 0
     while at < len(order):
         longest = n[order[at]]
-        take = order[at : at + max(1, int((1 << 19) // longest))]
+        take = order[at : at + max(1, int((1 << 18) // longest))]
         m = n[take]
         mat = np.zeros((longest, len(take)), np.int32)
         pos = np.repeat(bounds[take] - np.concatenate([[0], np.cumsum(m)[:-1]]), m) + np.arange(m.sum())
@@ -106,41 +106,43 @@ def _grid(bounds: np.ndarray, flat: np.ndarray) -> Iterator[tuple[np.ndarray, np
 
 def expected_counts(model: Hmm, bounds: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Forward-backward over the sequences: expected starts, moves and emissions, and the
-    log-likelihood."""
+    log-likelihood. States come before sequences in memory, so that sums over states are
+    sums of whole rows."""
     k = len(model.start)
-    emit, move, start = (a.astype(np.float32) for a in (model.emit, model.move, model.start))
+    emit, move, start = (np.ascontiguousarray(a.T, np.float32) for a in (model.emit, model.move, model.start))
+    back = np.ascontiguousarray(model.move, np.float32)
     starts, moves, emits, total = np.zeros(k), np.zeros((k, k)), np.zeros(model.emit.shape), 0.0
     for mat, m in _grid(bounds, flat):
         steps, width = mat.shape
         live = np.searchsorted(-m, -np.arange(steps), "left")  # how many are longer than t
-        b = emit[mat]
-        a = np.zeros((steps, width, k), np.float32)
+        b, a = np.empty((steps, k, width), np.float32), np.zeros((steps, k, width), np.float32)
+        for j in range(k):
+            b[:, j] = emit[j][mat]
         scale = np.ones((steps, width), np.float32)
-        cur = start[None, :] * b[0]
+        cur = start[:, None] * b[0]
         for t in range(steps):
             w = live[t]
             if t:
-                cur = (a[t - 1, :w] @ move) * b[t, :w]
-            s = np.maximum(cur.sum(axis=1), np.float32(1e-37))
+                cur = (move @ a[t - 1, :, :w]) * b[t, :, :w]
+            s = np.maximum(cur.sum(axis=0), np.float32(1e-37))
             scale[t, :w] = s
-            a[t, :w] = cur / s[:, None]
-        total += float(np.log(scale.astype(np.float64)).sum())
-        beta = np.ones((width, k), np.float32)
-        gamma = a
+            np.divide(cur, s, out=a[t, :, :w])
+        total += float(np.log(scale).sum(dtype=np.float64))
+        beta = np.ones((k, width), np.float32)
         for t in range(steps - 1, -1, -1):
             w = live[t]
             if t < steps - 1:
                 nxt = live[t + 1]
-                v = b[t + 1, :nxt] * beta[:nxt] / scale[t + 1, :nxt, None]
-                moves += move * (a[t, :nxt].T @ v)
-                beta[:nxt] = v @ move.T
-            g = a[t, :w] * beta[:w]
-            gamma[t, :w] = g / np.maximum(g.sum(axis=1, keepdims=True), np.float32(1e-37))
-        starts += gamma[0].sum(axis=0)
+                v = b[t + 1, :, :nxt] * beta[:, :nxt] / scale[t + 1, :nxt]
+                moves += back * (a[t, :, :nxt] @ v.T)
+                beta[:, :nxt] = back @ v
+            g = a[t, :, :w] * beta[:, :w]
+            np.divide(g, np.maximum(g.sum(axis=0), np.float32(1e-37)), out=a[t, :, :w])
+        starts += a[0].sum(axis=1)
         on = np.arange(width)[None, :] < live[:, None]
-        sym, val = mat[on], gamma[on]
+        sym = mat[on]
         for j in range(k):
-            emits[:, j] += np.bincount(sym, val[:, j], len(emits))
+            emits[:, j] += np.bincount(sym, a[:, j][on], len(emits))
     return starts, moves, emits, total
 
 
@@ -148,6 +150,7 @@ def log_likelihood(model: Hmm, bounds: np.ndarray, flat: np.ndarray) -> np.ndarr
     """Natural log-likelihood of each sequence by the scaled forward recursion; 0 for an
     empty one."""
     n = np.diff(bounds)
+    emit, move = np.ascontiguousarray(model.emit.T), np.ascontiguousarray(model.move.T)
     out = np.zeros(len(n))
     order = np.argsort(-n, kind="stable")
     order = order[n[order] > 0]
@@ -157,14 +160,14 @@ def log_likelihood(model: Hmm, bounds: np.ndarray, flat: np.ndarray) -> np.ndarr
         m = n[take]
         live = np.searchsorted(-m, -np.arange(m[0]), "left")
         first, acc = bounds[take], np.zeros(len(take))
-        cur = model.start[None, :] * model.emit[flat[first]]
+        cur = model.start[:, None] * emit[:, flat[first]]
         for t in range(m[0]):
             w = live[t]
             if t:
-                cur = (cur[:w] @ model.move) * model.emit[flat[first[:w] + t]]
-            s = np.maximum(cur.sum(axis=1), 1e-300)
+                cur = (move @ cur[:, :w]) * emit[:, flat[first[:w] + t]]
+            s = np.maximum(cur.sum(axis=0), 1e-300)
             acc[:w] += np.log(s)
-            cur = cur / s[:, None]
+            cur /= s
         out[take] = acc
         at += len(take)
     return out
@@ -389,7 +392,8 @@ class Fitted:
         return self.counts.where("bucket >= 0").groupBy("bucket").applyInArrow(lambda t: _pool(t, k), COUNTS)
 
     def by_block(self, f: Callable[[pa.Table, pa.Table], pa.Table], schema: T.StructType | str) -> DataFrame:
-        """``f`` of each block's texts and of its words with their counts."""
+        """``f`` of each block's texts, which stay where they are, and of its words with
+        their counts."""
         texts = self.blocks.where("bucket = -1").select("block", "ids", "n", "seq")
         return texts.groupBy("block").cogroup(self.pooled().groupBy("block")).applyInArrow(f, schema)
 
@@ -407,7 +411,7 @@ def fit(raw: DataFrame, states: int = STATES, rounds: int = ROUNDS, tolerance: f
     some = raw.where(F.pmod(content_key("text", seed=seed), F.lit(part)) == 0).select(F.lit(0).alias("one"), "text")
     begun = written(some.groupBy("one").applyInArrow(lambda t: _fit_sample(t, states, rounds, tolerance / 5, buckets, segment, seed), COUNTS), "hmm-sample")
     schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("bucket", T.IntegerType()), T.StructField("ids", T.ArrayType(raw.schema["id"].dataType)), *(T.StructField(c, T.BinaryType()) for c in ("n", "seq", "h"))])
-    blocks = written(raw.mapInArrow(lambda it: _blocks(it, buckets, block), schema), "hmm-blocks")
+    blocks = bucketed(raw.mapInArrow(lambda it: _blocks(it, buckets, block), schema), "hmm-blocks", "block")
     asked = blocks.where("bucket >= 0").select("block", "bucket", "h", F.lit(None).cast("binary").alias("c"))
     words = asked.groupBy("bucket").applyInArrow(lambda t: pa.table({"n": [len(np.unique(_joined(t.column("h"), np.uint64)))]}), "n bigint").agg(F.sum("n")).first()[0] or 0
     fitted = Fitted(blocks, begun, initial_totals(states, words, seed), [], seed)
@@ -434,7 +438,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     on all of them, until it settles or for ``rounds``. Words are compared in lower case.
     A null, empty or wordless text has no words, likelihood 0 and a null perplexity. Null
     ids and repeated rows are kept as they come, each repetition counting in the training;
-    other columns are ignored. Without ``vocabulary`` every word counts as itself."""
+    other columns are ignored; an empty table gives no rows. Without ``vocabulary`` every
+    word counts as itself."""
     raw = pick(docs, id=id_col, text=text_col)
     out = T.StructType([raw.schema["id"], T.StructField("n", T.LongType()), T.StructField("ll", T.DoubleType())])
     if vocabulary is None:
