@@ -32,7 +32,7 @@ BLOCKS = 8
 #: Vectors at home in a cell, vectors that a task lets reach it, and vectors on which the
 #: cells are fitted (they decide where work is done, not what is found).
 CELL, REACH, SAMPLE = 1 << 15, 1 << 17, 1 << 14
-LEAF, TILE, PAIRS = 512, 8192, 1 << 14
+LEAF, TILE, PAIRS = 512, 8192, 1 << 12
 
 
 def rotation(dims: int, seed: int = 5) -> np.ndarray:
@@ -53,19 +53,24 @@ class Subspaces:
     def part(self, unit: np.ndarray, block: int) -> np.ndarray:
         return unit @ self.turn[:, self.bounds[block] : self.bounds[block + 1]]
 
-    def first(self, diff: np.ndarray) -> np.ndarray:
-        """The first block whose budget each difference keeps. Element by element, so that
-        every task finds the same to the last bit."""
-        turned = np.zeros_like(diff)
-        for j in range(diff.shape[1]):
-            turned += diff[:, j : j + 1] * self.turn[j][None, :]
-        kept = np.zeros((len(diff), len(self.limits)), bool)
-        for b, limit in enumerate(self.limits):
-            total = np.zeros(len(diff))
-            for j in range(self.bounds[b], self.bounds[b + 1]):
-                total += turned[:, j] * turned[:, j]
-            kept[:, b] = total <= limit
-        return kept.argmax(axis=1)
+    def belongs(self, diff: np.ndarray, block: int) -> np.ndarray:
+        """Whether ``block`` is the first whose budget each difference keeps. Element by
+        element, so that every task finds the same to the last bit."""
+        out = np.zeros(len(diff), bool)
+        left, d = np.arange(len(diff)), np.ascontiguousarray(diff.T)
+        for b in range(block + 1):
+            part = self.turn[:, self.bounds[b] : self.bounds[b + 1]]
+            turned = np.zeros((part.shape[1], len(left)))
+            for j in range(len(d)):
+                turned += part[j][:, None] * d[j][None, :]
+            total = np.zeros(len(left))
+            for row in turned:
+                total += row * row
+            kept = total <= self.limits[b]
+            if b == block:
+                out[left[kept]] = True
+            left, d = left[~kept], d[:, ~kept]
+        return out
 
 
 def units(vectors: list[bytes], kind: str) -> np.ndarray:
@@ -166,7 +171,10 @@ def _join(space: Subspaces, block: int, home: np.ndarray, reach: np.ndarray, u:
         for k in range(0, len(near), TILE):
             other = near[k : k + TILE]
             b = small[other]
-            i, j = np.nonzero(a2 + (b * b).sum(axis=1)[None, :] - 2 * (a @ b.T) <= loose)
+            apart2 = a @ (-2 * b.T)
+            apart2 += a2
+            apart2 += (b * b).sum(axis=1)
+            i, j = np.divmod(np.flatnonzero(apart2 <= loose), len(other))
             i, j = own[i], other[j]
             apart = node[i] != node[j]
             i, j = i[apart], j[apart]
@@ -175,7 +183,7 @@ def _join(space: Subspaces, block: int, home: np.ndarray, reach: np.ndarray, u:
                 close = (u[x] * u[z]).sum(axis=1) >= space.min_cosine
                 x, z = x[close], z[close]
                 if len(x):
-                    mine = space.first(u[x] - u[z]) == block
+                    mine = space.belongs(u[x] - u[z], block)
                     np.add.at(links, x[mine], copies[z[mine]])
 
     todo = [(home, reach)]
