@@ -50,11 +50,12 @@ def shared_dir(spark: SparkSession) -> str:
     return _own("shared")
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again."""
+def written(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again: cuts the lineage and
+    survives the loss of executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/webloom/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
