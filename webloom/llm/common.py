@@ -3,10 +3,7 @@ folder, vectorised word hashing, hashed linear features."""
 
 from __future__ import annotations
 
-import atexit
 import contextlib
-import shutil
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -16,39 +13,17 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir, written  # noqa: F401  (written is for the operators)
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _CHUNK = 1 << 18
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-_OWN_DIR: list[str] = []
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session. Where it
-    is unset a local session gets a folder of its own; a cluster must name one."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if not _OWN_DIR:
-        _OWN_DIR.append(tempfile.mkdtemp(prefix="webloom-"))
-        atexit.register(shutil.rmtree, _OWN_DIR[0], True)
-    return "file://" + _OWN_DIR[0]
-
-
-def written(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again: cuts the lineage
-    and survives the loss of executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/webloom/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def bucketed(df: DataFrame, tag: str, key: str) -> DataFrame:
     """``df`` written to the shared folder in buckets of ``key``, as many as the session has
     shuffle partitions, and read again: what groups by the key needs no shuffle."""
