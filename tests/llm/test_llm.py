@@ -372,11 +372,11 @@ def test_stars_until_nothing_is_left(spark):
     for i, v in enumerate(sig):
         rows.append((i, np.array(v, np.uint16).tobytes(), [5, 6]))
     nodes = spark.createDataFrame(rows, "node bigint, sig binary, keys array<bigint>")
-    got = {tuple(r) for r in minhash._edges(nodes, 16, 0.5).collect()}
+    got = {tuple(r) for r in minhash._edges(nodes, 16, 0.5)[0].collect()}
     assert {(2 * i, 2 * i + 1) for i in range(60)} == got
     # none alike, same rare tokens: every pair is looked at in the end
     flat = [(i, np.array([i if k % 60 == i else 9 for k in range(128)], np.uint16).tobytes(), [1]) for i in range(40)]
-    got = minhash._edges(spark.createDataFrame(flat, nodes.schema), 128, 0.999).collect()
+    got = minhash._edges(spark.createDataFrame(flat, nodes.schema), 128, 0.999)[0].collect()
     assert got == []
 
 

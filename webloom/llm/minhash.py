@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batches, mix64, pick, words_of, written
+from .common import batches, discard, mix64, pick, words_of, written
 
 BINS, BANDS, SHINGLE, THRESHOLD = 128, 32, 3, 0.5
 #: Rows of an id and a hash that may be broadcast, and hash classes of signature entries.
@@ -115,7 +115,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # a node is a signature: a large group of exact copies is one node
     signed = _one_text_per_id(written(signed.withColumn("node", F.xxhash64("sig")), "minhash-sig"))
     nodes = written(signed.select("node", "sig", "keys").dropDuplicates(["node"]), "minhash-node")
-    parts = components(_edges(nodes, bins, threshold))
+    edges, held = _edges(nodes, bins, threshold)
+    parts = components(edges)
+    for table in held:
+        discard(table)
 
     ids = signed.select("id", "node").join(parts, "node", "left").select("id", F.coalesce("least", "node").alias("part"))
     kept = ids.groupBy("part").agg(F.min("id").alias("kept_id"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -133,25 +136,34 @@ def _one_text_per_id(signed: DataFrame) -> DataFrame:
     return signed.join(F.broadcast(twice) if n <= SMALL else twice, "id", "left").where("least is null or h = least").drop("least")
 
 
-def _edges(nodes: DataFrame, bins: int, threshold: float) -> DataFrame:
-    """(centre, node): the verified edges. Two stars in each bucket of the bands; members
-    that are like neither centre meet again in the buckets of their rare tokens."""
+def _edges(nodes: DataFrame, bins: int, threshold: float) -> tuple[DataFrame, list[DataFrame]]:
+    """(centre, node): the verified edges, and the tables that hold them. Two stars in each
+    bucket of the bands; members that are like neither centre meet again in the buckets of
+    their rare tokens."""
     rows = nodes.select(F.explode("keys").alias("key"), "node")
     links: list[DataFrame] = []
-    for _ in range(2):
-        rows = _star(rows, nodes, threshold, 1, links)
+    rows = _star(rows, nodes, threshold, 1, links)
+    rows = _next(rows, nodes, threshold, 1, links)
     if rows.isEmpty():
-        return reduce(DataFrame.union, links)
+        return reduce(DataFrame.union, links), links
     some = written(nodes.select("node", "sig").join(rows.select("node").distinct(), "node", "left_semi"), "minhash-rest")
     frequency = _frequencies(some, bins)
     prefix = bins - max(1, int(np.ceil(threshold * bins))) + 1
+    discard(rows)
     rows = some.mapInArrow(lambda it: _rare(it, bins, prefix, frequency), "key bigint, node bigint")
-    centres = 1
-    while True:
-        rows = _star(rows, some, threshold, centres, links)
-        if rows.isEmpty():
-            return reduce(DataFrame.union, links)
+    centres, rows = 1, _star(rows, some, threshold, 1, links)
+    while not rows.isEmpty():
         centres *= 2
+        rows = _next(rows, some, threshold, centres, links)
+    discard(some)
+    return reduce(DataFrame.union, links), links
+
+
+def _next(rows: DataFrame, *how) -> DataFrame:
+    """A star over a written table, which nothing else reads."""
+    left = _star(rows, *how)
+    discard(rows)
+    return left
 
 
 def _star(rows: DataFrame, nodes: DataFrame, threshold: float, centres: int, links: list[DataFrame]) -> DataFrame:
@@ -173,7 +185,9 @@ def _star(rows: DataFrame, nodes: DataFrame, threshold: float, centres: int, lin
     rest = found.groupBy("key", "node").agg(F.max("ok").alias("ok")).where("not ok").select("key", "node")
     if centres > 1:
         rest = rest.join(each.select("key", F.col("centre").alias("node")), ["key", "node"], "left_anti")
-    return written(rest, "minhash-left")
+    left = written(rest, "minhash-left")
+    discard(met)
+    return left
 
 
 def _tokens(batch: pa.RecordBatch, bins: int) -> np.ndarray:
@@ -232,6 +246,7 @@ def components(edges: DataFrame) -> DataFrame:
         new = large.join(small, "a").select(F.explode(ends).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
         new = written(new, "cc")
         state = new.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
+        discard(now)
         if state == seen:
             return new.select(F.col("a").alias("node"), F.col("b").alias("least"))
         now, seen = new, state
