@@ -58,22 +58,35 @@ _CAP = r"[^\W\d_a-zß-öø-ÿа-яё][^\W\d_]{0,39}(?:[-'’][^\W\d_]{1,40}){0,3
 _HAN = "王李张刘陈杨赵黄周吴徐孙胡朱高林何郭马罗梁宋郑谢韩唐冯于董萧程曹袁邓许傅沈曾彭吕苏卢蒋蔡贾丁魏薛叶阎余潘杜戴夏钟汪田任姜范方石姚谭廖邹熊金陆郝孔白崔康毛邱秦江史顾侯邵孟龙万段雷钱汤尹黎易常武乔贺赖龚文"
 _HAN_GIVEN = "伟芳娜敏静丽强磊军洋勇艳杰娟涛明超秀霞平刚桂英华玉兰红建国志文海波宇轩涵梓浩然欣怡佳琪雪梅"
 _CJK = "぀-ヿ㐀-鿿"
+#: A pattern begins with a set of characters, which the search skips to; what must not stand
+#: before it is looked at behind the first character. The last group is the entity.
 _PATTERNS: list[tuple[str, re.Pattern, Callable[[str], bool]]] = [
     ("secret", re.compile(r"(?i)\b(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key)\b(\s{0,8}[=:]\s{0,8}[\"']?)([A-Za-z0-9+/_\-]{8,})"), lambda t: "=" in t or ":" in t),
-    ("secret", re.compile(r"\b()((?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|(?=[0-9]*[a-fA-F])[0-9a-f]{32,}|(?=[0-9]*[A-F])[0-9A-F]{32,})\b"), lambda t: True),
-    ("iban", re.compile(r"\b()([A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)\b"), lambda t: True),
-    ("ip6", re.compile(r"()(?<![\w:.])([0-9A-Fa-f:]{2,39})(?![\w:])"), lambda t: ":" in t),
-    ("phone", re.compile(r"()((?<![\w+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}(?!\d)|(?<![\w.])\(\d{3}\) ?\d{3}[ .\-]\d{4}(?!\d)|(?<![\w.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])|(?<![\w.,+\-/:])0\d{2,4}[ /\-]\d{5,8}(?![\w\-]|[.,]\d))"), lambda t: True),
-    ("ssn", re.compile(r"()(?<![\w\-])(\d{3}-\d{2}-\d{4})(?![\w\-])"), lambda t: "-" in t),
-    ("card", re.compile(r"()(?<!\d)(?<!\d\.)(\d(?:[ \-]?\d){12,18})(?!\d)"), lambda t: True),
-    ("ip", re.compile(r"()(?<![\d.])((?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?![\d]|\.\d)"), lambda t: "." in t),
-    ("han", re.compile(rf"()(?:(?<![{_CJK}])|(?<=我叫)|(?<=名叫)|(?<=姓名)|(?<=联系人))([{_HAN}][一-鿿]{{1,2}}?)(?=先生|女士|小姐|老师|教授|医生|さん|様|氏|君|(?![{_CJK}]))"), lambda t: True),
+    ("secret", re.compile(r"\b((?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|(?=[0-9]*[a-fA-F])[0-9a-f]{32,}|(?=[0-9]*[A-F])[0-9A-F]{32,})\b"), lambda t: max(map(len, t.split()), default=0) >= 20),
+    ("iban", re.compile(r"([A-Z](?<!\w[A-Z])[A-Z]\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)\b"), lambda t: True),
+    ("ip6", re.compile(r"([0-9A-Fa-f:](?<![\w:.].)[0-9A-Fa-f:]{1,38})(?![\w:])"), lambda t: t.count(":") > 1),
+    (
+        "phone",
+        re.compile(
+            r"([+(\d](?:(?<=\+)(?<![\w+].)\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}(?!\d)|(?<=\()(?<![\w.].)\d{3}\) ?\d{3}[ .\-]\d{4}(?!\d)"
+            r"|(?<=\d)(?<![\w.\-].)\d{2}[.\-]\d{3}[.\-]\d{4}(?![\d\-])|(?<=0)(?<![\w.,+\-/:].)\d{2,4}[ /\-]\d{5,8}(?![\w\-]|[.,]\d)))"
+        ),
+        lambda t: True,
+    ),
+    ("ssn", re.compile(r"(\d(?<![\w\-].)\d{2}-\d{2}-\d{4})(?![\w\-])"), lambda t: "-" in t),
+    ("card", re.compile(r"(\d(?<!\d.)(?<!\d\..)(?:[ \-]?\d){12,18})(?!\d)"), lambda t: True),
+    ("ip", re.compile(r"(\d(?<![\d.].)\d{0,2}\.\d{1,3}\.\d{1,3}\.\d{1,3})(?!\d|\.\d)"), lambda t: t.count(".") > 2),
+    ("han", re.compile(rf"(?:(?<![{_CJK}])|(?<=我叫)|(?<=名叫)|(?<=姓名)|(?<=联系人))([{_HAN}][一-鿿]{{1,2}}?)(?=先生|女士|小姐|老师|教授|医生|さん|様|氏|君|(?![{_CJK}]))"), lambda t: not t.isascii() and _IDEOGRAM.search(t) is not None),
 ]
+_IDEOGRAM = re.compile("[一-鿿]")
 _LOCAL = re.compile(r"[^\W_](?:[\w.%+\-]*[\w%+\-])?\Z")
 _DOMAIN = re.compile(r"(?:[^\W_](?:[\w\-]{0,61}[^\W_])?\.)+[^\W\d_]{2,}")
 _DIGIT = re.compile(r"\d")
 _PERSON = re.compile(rf"(?:\b({_TITLE}|{_CUE})\s+)?\b({_CAP}(?:[ \t]+{_CAP}){{0,3}})")
-_PAIR = re.compile(rf"\b{_CAP}[ \t]+{_CAP}|\b(?:{_TITLE}|{_CUE})\s+{_CAP}")
+_NEXT = re.compile(rf"{_CAP.replace('[^', '[^', 1).replace('ё]', 'ё](?<!\\w.)', 1)}[ \t]+{_CAP}")
+_CALLED = re.compile(rf"\b(?:{_TITLE}|{_CUE})\s+{_CAP}")
+#: Some of these stands in every text in which a title or a phrase is found.
+_HINTS = ("Mr", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Hr", "Fr", "Mons", "Mad", "Mme", "Mlle", "Señor", "Sr", "Doña", "Don", "Г-", "Κ", "ame", "igned by", "ontact", "appelle", "heiße", "llamo", "nombre", "зовут", "λένε")
 _WORD = re.compile(r"[^\W\d_]+(?:[-'’][^\W\d_]+)*")
 
 #: Letters that may take each other's place, by script.
@@ -313,6 +326,13 @@ def _address(text: str) -> bool:
         return False
 
 
+def _numbers(text: str) -> bool:
+    return all(int(n) < 256 and (len(n) < 3 or n[0] != "0") for n in text.split("."))
+
+
+_VALID: dict[str, Callable[[str], bool]] = {"ip6": _address, "ip": _numbers}
+
+
 def entities(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the entities, in order, not overlapping. Earlier kinds of the
     list of patterns win. A given name counts as a person if a surname or title is beside
@@ -326,17 +346,16 @@ def entities(text: str) -> list[tuple[int, int, str]]:
             found.append((a, b, kind))
 
     digits = _DIGIT.search(text)
-    han = not text.isascii()
     for kind, pattern, worth in _PATTERNS:
-        if (digits or kind == "secret" or kind == "han" and han) and worth(text):
+        if (digits or kind in ("secret", "han")) and worth(text):
             for m in pattern.finditer(text):
-                if kind != "ip6" or _address(m[2]):
-                    take(*m.span(2), kind)
+                if _VALID.get(kind, bool)(m[pattern.groups]):
+                    take(*m.span(pattern.groups), kind)
         if kind == "secret":
             for a, b in _emails(text):
                 take(a, b, "email")
     parts: set[str] = set()
-    if _PAIR.search(text):
+    if _NEXT.search(text) or any(h in text for h in _HINTS) and _CALLED.search(text):
         for m in _PERSON.finditer(text):
             words = m[2].split()
             given = [w for w in words if w.casefold() in _KIND]
