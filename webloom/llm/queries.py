@@ -117,7 +117,7 @@ WITH p AS (
 ), bare AS (SELECT round(greatest(0.0, mu0 - 1.645 * sqrt(mu0 * (1 - mu0) / (m + 1))), 6) AS unknown FROM m2, whole
 ), ab AS (SELECT host, domain, suffix, m * mu + k AS a, m * (1 - mu) + n - k AS b FROM hosts0, m2
 ), post AS (SELECT host, domain, suffix, round(a / (a + b), 6) AS mean, round(greatest(0.0, a / (a + b) - 1.645 * sqrt(a * b / (pow(a + b, 2) * (a + b + 1)))), 6) AS bound FROM ab)
-SELECT page_id, url, host, post.domain, post.suffix, mean, bound FROM parted JOIN post USING (host), bare WHERE bound >= unknown - 1e-6""",
+SELECT page_id, url, host, post.domain, post.suffix, mean, bound FROM parted JOIN post USING (host), bare WHERE bound >= unknown * {1 - url_reputation.SLACK}::DOUBLE""",
     "op3_embedding_pairs": _LINKS.format(v="SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings"),
     "embedding_links_of_copies": _LINKS.format(
         v="""SELECT vec_id + k * 1000000000 AS vec_id, CASE WHEN k < 2 THEN embedding::DOUBLE[] ELSE list_prepend(embedding[1]::DOUBLE + 0.2::DOUBLE, (embedding::DOUBLE[])[2:]) END AS e

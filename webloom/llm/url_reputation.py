@@ -29,6 +29,8 @@ _SECOND = {
 SUFFIXES = tuple(f"{a}.{cc}" for cc, names in _SECOND.items() for a in names.split()) + ("s3.amazonaws.com", "k12.ca.us", "k12.tx.us", "k12.ny.us")
 #: The greatest number of rules that a table of suffixes may have.
 MOST_RULES = 50_000
+#: By how much of it a host may fall short of the bound of an unknown one.
+SLACK = 0.01
 
 
 def host_of(url: Column) -> Column:
@@ -124,14 +126,15 @@ def host_reputation(pages: DataFrame, labels: DataFrame, id_col: str = "page_id"
     return hosts.select("host", "domain", "suffix", F.col("k").alias("good"), F.col("n").alias("total"), F.round(a / (a + b), 6).alias("mean"), _bound(a, b, z).alias("bound"), unknown.alias("unknown"))
 
 
-def reputable_pages(pages: DataFrame, labels: DataFrame, min_bound: float | None = None, id_col: str = "page_id", url_col: str = "url", **how) -> DataFrame:
+def reputable_pages(pages: DataFrame, labels: DataFrame, min_bound: float | None = None, slack: float = SLACK, id_col: str = "page_id", url_col: str = "url", **how) -> DataFrame:
     """(id, url, host, domain, suffix, mean, bound) of the pages whose host's posterior
     bound is at least ``min_bound``, or, without it, at least that of a host of which
-    nothing is known: who is known to be worse than that goes. Pages without a host (null
+    nothing is known, less a share of ``slack``: who is known to be worse than that goes,
+    and who only seems so by a little chance stays. Pages without a host (null
     or malformed URL) go; repeated rows stay repeated; hosts that tie with the limit stay;
     other columns are ignored; an empty label table leaves the bound of the bare prior,
     and an empty table of pages gives no rows."""
     hosts = host_reputation(pages, labels, id_col, url_col, **how)
-    hosts = hosts.where(F.col("bound") >= (F.col("unknown") - 1e-6 if min_bound is None else F.lit(min_bound))).drop("unknown")
+    hosts = hosts.where(F.col("bound") >= (F.col("unknown") * (1 - slack) if min_bound is None else F.lit(min_bound))).drop("unknown")
     p = pick(pages, id=id_col, url=url_col).withColumn("host", host_of(F.col("url"))).where("host is not null")
     return p.join(hosts, "host").select(F.col("id").alias(id_col), F.col("url").alias(url_col), "host", "domain", "suffix", "mean", "bound")
