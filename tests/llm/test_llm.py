@@ -823,6 +823,26 @@ def test_blocks_and_buckets_agree_with_one_block(spark):
     assert np.allclose(hmm.emissions(whole, one.totals).sum(axis=0), 1, atol=1e-4)
 
 
+def test_rounds_send_counts_without_words(spark):
+    rnd = random.Random(10)
+    texts = [rand_words(rnd, rnd.randint(0, 90), "abc", 3) for _ in range(60)]
+    docs = docs_of(spark, [(i, t, "a") for i, t in enumerate(texts)]).union(docs_of(spark, [(99, None, "a")]).coalesce(1)).select(F.col("doc_id").alias("id"), "text")  # the last is a block without words
+    got = hmm.fit(docs, 3, 2, block=300)
+    hashes = {b: np.frombuffer(h, np.uint64) for *b, h in got.asked().collect() for b in [tuple(b)]}
+    rows = got.counts.where("bucket >= 0").collect()
+    assert sum(len(v) for r in rows for v in r if isinstance(v, (bytes, bytearray))) == 3 * 4 * sum(map(len, hashes.values()))
+    brute = Counter()
+    for r in rows:
+        for w, c in zip(hashes[r.block, r.bucket].tolist(), np.frombuffer(r.c, np.float32).reshape(-1, 3)):
+            brute[w] += c.astype(float)
+    sums = got.sums().collect()
+    assert {(r.block, r.bucket) for r in sums} == hashes.keys() and len(sums) == len(hashes)
+    for r in sums:
+        assert np.allclose(np.frombuffer(r.c, np.float32).reshape(-1, 3), [brute[w] for w in hashes[r.block, r.bucket].tolist()], rtol=1e-5)
+    words = Counter(w for t in texts for w in common.words_of([t])[1].tolist())
+    assert brute.keys() == words.keys() and all(c.sum() == pytest.approx(words[w], rel=1e-3) for w, c in brute.items())
+
+
 def test_training_goes_on_until_the_states_part(spark):
     rnd = random.Random(9)
     docs = docs_of(spark, [(i, " ".join(f"{'ab'[j % 2]}{rnd.randrange(40)}" for j in range(100)), "a") for i in range(80)])

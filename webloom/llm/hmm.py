@@ -85,8 +85,9 @@ def initial(vocabulary: np.ndarray, rare: int, states: int, seed: int = 0) -> Hm
     return Hmm(vocabulary, rare, g.dirichlet(np.full(states, 5.0)), move, emit / emit.sum(axis=0))
 
 
-def _grid(bounds: np.ndarray, flat: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(symbols padded to a matrix, lengths) of sequences of like length, longest first."""
+def _grid(bounds: np.ndarray, flat: np.ndarray, pad: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(symbols as a matrix, ``pad`` where a sequence has ended; how many are longer than
+    each step) of sequences of like length, longest first."""
     n = np.diff(bounds)
     order = np.argsort(-n, kind="stable")
     order = order[n[order] > 0]
@@ -94,56 +95,58 @@ def _grid(bounds: np.ndarray, flat: np.ndarray) -> Iterator[tuple[np.ndarray, np
     while at < len(order):
         longest = n[order[at]]
         take = order[at : at + max(1, int((1 << 18) // longest))]
-        m = n[take]
-        mat = np.zeros((longest, len(take)), np.int32)
-        pos = np.repeat(bounds[take] - np.concatenate([[0], np.cumsum(m)[:-1]]), m) + np.arange(m.sum())
-        col = np.repeat(np.arange(len(take)), m)
-        row = np.arange(m.sum()) - np.repeat(np.concatenate([[0], np.cumsum(m)[:-1]]), m)
-        mat[row, col] = flat[pos]
-        yield mat, m
+        m, step = n[take], np.arange(longest)
+        mat = flat[np.minimum(bounds[take] + step[:, None], len(flat) - 1)]
+        live = np.searchsorted(-m, -step, "left")
+        if live[-1] < len(m):
+            mat[step[:, None] >= m] = pad
+        yield mat, live
         at += len(take)
 
 
 def expected_counts(model: Hmm, bounds: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Forward-backward over the sequences: expected starts, moves and emissions, and the
-    log-likelihood. States come before sequences in memory, so that sums over states are
-    sums of whole rows."""
-    k = len(model.start)
-    emit, move, start = (np.ascontiguousarray(a.T, np.float32) for a in (model.emit, model.move, model.start))
-    back = np.ascontiguousarray(model.move, np.float32)
-    starts, moves, emits, total = np.zeros(k), np.zeros((k, k)), np.zeros(model.emit.shape), 0.0
-    for mat, m in _grid(bounds, flat):
+    log-likelihood. States come first in memory, so that sums over states are sums of whole
+    rows and a state's emissions are looked up and counted in one piece; what pads the
+    sequences is a symbol of its own, which is dropped."""
+    k, pad = len(model.start), len(model.emit)
+    move, start = (np.ascontiguousarray(a.T, np.float32) for a in (model.move, model.start))
+    back, emit = np.ascontiguousarray(model.move, np.float32), np.zeros((k, pad + 1), np.float32)
+    emit[:, :pad] = model.emit.T
+    starts, moves, emits, total = np.zeros(k), np.zeros((k, k)), np.zeros((k, pad + 1)), 0.0
+    for mat, live in _grid(bounds, flat, pad):
         steps, width = mat.shape
-        live = np.searchsorted(-m, -np.arange(steps), "left")  # how many are longer than t
-        b, a = np.empty((steps, k, width), np.float32), np.zeros((steps, k, width), np.float32)
+        b, a = np.empty((k, steps, width), np.float32), np.zeros((k, steps, width), np.float32)
         for j in range(k):
-            b[:, j] = emit[j][mat]
+            emit[j].take(mat, out=b[j], mode="clip")
         scale = np.ones((steps, width), np.float32)
-        cur = start[:, None] * b[0]
+        cur = start[:, None] * b[:, 0]
         for t in range(steps):
             w = live[t]
             if t:
-                cur = (move @ a[t - 1, :, :w]) * b[t, :, :w]
+                cur = move @ a[:, t - 1, :w]
+                cur *= b[:, t, :w]
             s = np.maximum(cur.sum(axis=0), np.float32(1e-37))
             scale[t, :w] = s
-            np.divide(cur, s, out=a[t, :, :w])
+            np.divide(cur, s, out=a[:, t, :w])
         total += float(np.log(scale).sum(dtype=np.float64))
         beta = np.ones((k, width), np.float32)
         for t in range(steps - 1, -1, -1):
             w = live[t]
             if t < steps - 1:
                 nxt = live[t + 1]
-                v = b[t + 1, :, :nxt] * beta[:, :nxt] / scale[t + 1, :nxt]
-                moves += back * (a[t, :, :nxt] @ v.T)
+                v = b[:, t + 1, :nxt] * beta[:, :nxt]
+                v /= scale[t + 1, :nxt]
+                moves += back * (a[:, t, :nxt] @ v.T)
                 beta[:, :nxt] = back @ v
-            g = a[t, :, :w] * beta[:, :w]
-            np.divide(g, np.maximum(g.sum(axis=0), np.float32(1e-37)), out=a[t, :, :w])
-        starts += a[0].sum(axis=1)
-        on = np.arange(width)[None, :] < live[:, None]
-        sym = mat[on]
+            g = a[:, t, :w]
+            g *= beta[:, :w]
+            g /= np.maximum(g.sum(axis=0), np.float32(1e-37))
+        starts += a[:, 0].sum(axis=1)
+        sym = mat.ravel().astype(np.intp)
         for j in range(k):
-            emits[:, j] += np.bincount(sym, a[:, j][on], len(emits))
-    return starts, moves, emits, total
+            emits[j] += np.bincount(sym, a[j].ravel(), pad + 1)
+    return starts, moves, np.ascontiguousarray(emits[:, :pad].T), total
 
 
 def log_likelihood(model: Hmm, bounds: np.ndarray, flat: np.ndarray) -> np.ndarray:
@@ -298,15 +301,23 @@ def _blocks(rows: Iterator[pa.RecordBatch], buckets: int, most: int) -> Iterator
 
 
 COUNTS = "block bigint, bucket int, h binary, c binary"
+#: Of words whose places in their bucket are known.
+SUMS = "block bigint, bucket int, c binary"
+PLACES = "block bigint, bucket int, gaps binary, n bigint"
 
 
-def _counted(block: int, h: np.ndarray, counts: np.ndarray, totals: Totals, buckets: int) -> pa.Table:
+def _counted(block: int, counts: np.ndarray, cut: list[tuple[int, int, int]], totals: Totals) -> pa.Table:
     """Rows of counts for each bucket; one of bucket -1 with what the driver sums up."""
-    cut = _slices(h, buckets)
     c = counts.astype(np.float32)
     rest = np.concatenate([totals.move.ravel(), totals.start, counts.sum(axis=0), [totals.ll]])
-    rows = [(block, -1, None, rest.tobytes())] + [(block, q, h[a:b].tobytes(), c[a:b].tobytes()) for q, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a]
-    return pa.table([pa.array(v, t) for v, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=["block", "bucket", "h", "c"])
+    rows = [(block, -1, rest.tobytes())] + [(block, q, c[a:b].tobytes()) for q, a, b in cut]
+    return _table(rows, SUMS)
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    named = [x.split() for x in schema.split(", ")]
+    return pa.table([pa.array([r[i] for r in rows], kinds[kind]) for i, (_, kind) in enumerate(named)], names=[name for name, _ in named])
 
 
 def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
@@ -323,27 +334,50 @@ def _pool(t: pa.Table, states: int) -> pa.Table:
     total = np.stack([np.bincount(at, flat[:, j], len(words)) for j in range(states)], axis=1).astype(np.float32)
     ends = np.cumsum([len(x) for x in h])
     rows = [(b, q, x.tobytes(), total[at[e - len(x) : e]].tobytes()) for b, q, x, e in zip(t.column("block").to_pylist(), t.column("bucket").to_pylist(), h, ends) if b >= 0]
-    return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=["block", "bucket", "h", "c"])
+    return _table(rows, COUNTS)
+
 
+def _places(t: pa.Table) -> pa.Table:
+    """Where each block's words are among the sorted ones of this bucket, as gaps; and how
+    many these are, in one of the rows."""
+    h = [np.frombuffer(x, np.uint64) for x in t.column("h").to_pylist()]
+    words, at = np.unique(np.concatenate(h), return_inverse=True)
+    parts = np.split(at.astype(np.int32), np.cumsum([len(x) for x in h])[:-1])
+    rows = [(b, q, np.diff(x, prepend=np.int32(0)).tobytes(), 0 if i else len(words)) for i, (b, q, x) in enumerate(zip(t.column("block").to_pylist(), t.column("bucket").to_pylist(), parts))]
+    return _table(rows, PLACES)
+
+
+def _sums(t: pa.Table, places: pa.Table, states: int) -> pa.Table:
+    """What ``_pool`` gives, of words whose places are known, without their hashes."""
+    at = {b: np.cumsum(np.frombuffer(x, np.int32)) for b, x in zip(places.column("block").to_pylist(), places.column("gaps").to_pylist())}
+    total = np.zeros((pc.sum(places.column("n")).as_py(), states))
+    for b, c in zip(t.column("block").to_pylist(), t.column("c").to_pylist()):
+        total[at[b]] += np.frombuffer(c, np.float32).reshape(-1, states)
+    total, q = total.astype(np.float32), places.column("bucket")[0].as_py()
+    return _table([(b, q, total[x].tobytes()) for b, x in at.items()], SUMS)
 
-def _model(words: pa.Table, totals: Totals, seed: int) -> tuple[np.ndarray, Hmm]:
-    """A block's words, and the model with their emissions."""
-    words = words.sort_by("bucket")
-    h, k = _joined(words.column("h"), np.uint64), len(totals.start)
+
+def _model(words: pa.Table, totals: Totals, seed: int) -> Hmm:
+    """The model with the emissions of a block's words, which come in order of buckets."""
+    k = len(totals.start)
     if not totals.state.any():
-        return h, Hmm(h, 0, totals.start, totals.move, leaning(h, k, seed))
-    return h, Hmm(h, 0, totals.start, totals.move, emissions(_joined(words.column("c"), np.float32).reshape(-1, k), totals))
+        h = _joined(words.column("h"), np.uint64)
+        return Hmm(h, 0, totals.start, totals.move, leaning(h, k, seed))
+    c = _joined(words.column("c"), np.float32).reshape(-1, k)
+    return Hmm(np.zeros(0, np.uint64), 0, totals.start, totals.move, emissions(c, totals))
 
 
-def _expect_block(docs: pa.Table, words: pa.Table, totals: Totals, buckets: int, segment: int, seed: int) -> pa.Table:
-    h, model = _model(words, totals, seed)
+def _expect_block(docs: pa.Table, words: pa.Table, totals: Totals, segment: int, seed: int) -> pa.Table:
+    words, k = words.sort_by("bucket"), len(totals.start)
     bounds = np.concatenate([[0], np.cumsum(_joined(docs.column("n"), np.int64))])
-    starts, moves, emits, ll = expected_counts(model, _cut(bounds, segment), _joined(docs.column("seq"), np.int32))
-    return _counted(docs.column("block")[0].as_py(), h, emits, Totals(moves, starts, emits.sum(axis=0), 0, ll), buckets)
+    starts, moves, emits, ll = expected_counts(_model(words, totals, seed), _cut(bounds, segment), _joined(docs.column("seq"), np.int32))
+    ends = np.cumsum([len(c) // (4 * k) for c in words.column("c").to_pylist()], dtype=np.int64)
+    cut = list(zip(words.column("bucket").to_pylist(), [0, *ends], ends))
+    return _counted(docs.column("block")[0].as_py(), emits, cut, Totals(moves, starts, emits.sum(axis=0), 0, ll))
 
 
 def _score_block(docs: pa.Table, words: pa.Table, totals: Totals, seed: int) -> pa.Table:
-    _, model = _model(words, totals, seed)
+    model = _model(words.sort_by("bucket"), totals, seed)
     n = _joined(docs.column("n"), np.int64)
     ll = log_likelihood(model, np.concatenate([[0], np.cumsum(n)]), _joined(docs.column("seq"), np.int32))
     return pa.table([pa.chunked_array([x.flatten() for x in docs.column("ids").chunks]), pa.array(n), pa.array(ll)], names=["id", "n", "ll"])
@@ -376,26 +410,44 @@ def _fit_sample(t: pa.Table, states: int, rounds: int, tolerance: float, buckets
         # a gain as small as this also occurs before the states part
         if len(seen) > 20 and _settled(seen, tolerance):
             break
-    return _counted(-1, h, counts, found, buckets) if seen else pa.table({"block": pa.array([], pa.int64()), "bucket": pa.array([], pa.int32()), "h": pa.array([], pa.binary()), "c": pa.array([], pa.binary())})
+    if not seen:
+        return _table([], COUNTS)
+    ends = _slices(h, buckets)
+    cut = [(q, a, b) for q, (a, b) in enumerate(zip(ends[:-1], ends[1:])) if b > a]
+    given = _counted(-1, counts, cut, found)
+    return given.add_column(2, "h", pa.array([None, *(h[a:b].tobytes() for _, a, b in cut)], pa.binary()))
 
 
 @dataclass
 class Fitted:
     blocks: DataFrame
-    counts: DataFrame  # of all words, by block and bucket
+    places: DataFrame  # of the blocks' words in their buckets
+    counts: DataFrame  # of all words, by block and bucket; before the first round those of the sample, with hashes
     totals: Totals
     seen: list[float]  # log-likelihood of all texts before each round
     seed: int
 
+    def asked(self) -> DataFrame:
+        return self.blocks.where("bucket >= 0").select("block", "bucket", "h")
+
+    def sums(self) -> DataFrame:
+        """Of each block and bucket the words' counts in all blocks."""
+        k, counts = len(self.totals.start), self.counts.where("bucket >= 0")
+        if "h" in self.counts.columns:
+            rows = counts.unionByName(self.asked().withColumn("c", F.lit(None).cast("binary")))
+            return rows.groupBy("bucket").applyInArrow(lambda t: _pool(t, k), COUNTS)
+        return counts.groupBy("bucket").cogroup(self.places.groupBy("bucket")).applyInArrow(lambda t, p: _sums(t, p, k), SUMS)
+
     def pooled(self) -> DataFrame:
-        k = len(self.totals.start)
-        return self.counts.where("bucket >= 0").groupBy("bucket").applyInArrow(lambda t: _pool(t, k), COUNTS)
+        """The same with the words' hashes."""
+        sums = self.sums()
+        return sums if "h" in sums.columns else self.asked().join(sums, ["block", "bucket"])
 
     def by_block(self, f: Callable[[pa.Table, pa.Table], pa.Table], schema: T.StructType | str) -> DataFrame:
         """``f`` of each block's texts, which stay where they are, and of its words with
         their counts."""
         texts = self.blocks.where("bucket = -1").select("block", "ids", "n", "seq")
-        return texts.groupBy("block").cogroup(self.pooled().groupBy("block")).applyInArrow(f, schema)
+        return texts.groupBy("block").cogroup(self.sums().groupBy("block")).applyInArrow(f, schema)
 
     def summed(self) -> np.ndarray | None:
         rows = self.counts.where("bucket = -1").select("c").toArrow().column("c").to_pylist()
@@ -412,17 +464,17 @@ def fit(raw: DataFrame, states: int = STATES, rounds: int = ROUNDS, tolerance: f
     begun = written(some.groupBy("one").applyInArrow(lambda t: _fit_sample(t, states, rounds, tolerance / 5, buckets, segment, seed), COUNTS), "hmm-sample")
     schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("bucket", T.IntegerType()), T.StructField("ids", T.ArrayType(raw.schema["id"].dataType)), *(T.StructField(c, T.BinaryType()) for c in ("n", "seq", "h"))])
     blocks = bucketed(raw.mapInArrow(lambda it: _blocks(it, buckets, block), schema), "hmm-blocks", "block")
-    asked = blocks.where("bucket >= 0").select("block", "bucket", "h", F.lit(None).cast("binary").alias("c"))
-    words = asked.groupBy("bucket").applyInArrow(lambda t: pa.table({"n": [len(np.unique(_joined(t.column("h"), np.uint64)))]}), "n bigint").agg(F.sum("n")).first()[0] or 0
-    fitted = Fitted(blocks, begun, initial_totals(states, words, seed), [], seed)
+    asked = blocks.where("bucket >= 0").select("block", "bucket", "h")
+    places = bucketed(asked.groupBy("bucket").applyInArrow(_places, PLACES), "hmm-places", "bucket")
+    words = places.agg(F.sum("n")).first()[0] or 0
+    fitted = Fitted(blocks, places, begun, initial_totals(states, words, seed), [], seed)
     rest = fitted.summed()
     if rest is not None:
         fitted.totals = _updated(rest, words, states)
-    fitted.counts = begun.unionByName(asked)
     for _ in range(rounds if words else 0):
         totals = fitted.totals
         with shuffles_dropped(raw.sparkSession):
-            counts = written(fitted.by_block(lambda a, b: _expect_block(a, b, totals, buckets, segment, seed), COUNTS), "hmm-counts", "snappy")
+            counts = written(fitted.by_block(lambda a, b: _expect_block(a, b, totals, segment, seed), SUMS), "hmm-counts", "snappy")
         discard(begun)
         begun = fitted.counts = counts
         fitted.totals = _updated(fitted.summed(), words, states)
