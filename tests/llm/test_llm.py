@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard as zs
 from hypothesis import given, settings
@@ -292,6 +293,28 @@ def test_links_within_each_length_of_vectors(spark):
     assert got == brute_links(rows, 0.95)
 
 
+def test_batches_of_the_vectors_tasks_are_bounded():
+    g = np.random.default_rng(6)
+    x = g.standard_normal((3000, 16))
+    space = embed_dedup.Subspaces(16, 0.2, 4)
+    cells = embed_dedup.cells_of(space, embed_dedup.units([r.tobytes() for r in x], "<f8"), len(x), 100, 400)
+    rows = pa.RecordBatch.from_arrays([pa.array(range(len(x))), pa.array([1] * len(x)), pa.array([r.tobytes() for r in x])], ["node", "copies", "vec"])
+    out = list(embed_dedup._spread(iter([rows]), space, cells, "<f8"))
+    assert sum(b.num_rows for b in out) > 20 * len(x) and max(b.num_rows for b in out) <= embed_dedup.OUT
+    t = pa.Table.from_batches(out).to_pydict()
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    home, reach = Counter(), Counter()
+    for n, v, b, c, s, role in zip(t["node"], t["vec"], t["block"], t["cell"], t["salt"], t["role"]):
+        assert v == x[n].tobytes()
+        home[n, b, c] += role & 1
+        reach[n, b, c] += role >> 1
+    assert set(reach.values()) == {1}  # once in each cell that it reaches, whatever the salts
+    assert all(home[k] in (0, cells[k[1]][1][k[2]]) for k in home)  # at home with all salts of one cell
+    assert sum(1 for v in home.values() if v) == len(x) * 4
+    want = sum(int((embed_dedup.outside(space.part(u, b), *c) <= space.limits[b]).sum()) for b, (found, _) in enumerate(cells) for c in found)
+    assert len(reach) == want
+
+
 # 4 MinHash
 
 

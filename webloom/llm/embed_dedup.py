@@ -33,6 +33,8 @@ BLOCKS = 8
 #: cells are fitted (they decide where work is done, not what is found).
 CELL, REACH, SAMPLE = 1 << 15, 1 << 17, 1 << 14
 LEAF, TILE, PAIRS = 512, 8192, 1 << 12
+#: Rows that are spread at once, and rows of a batch that comes out of them.
+PIECE, OUT = 1 << 12, 1 << 13
 
 
 def rotation(dims: int, seed: int = 5) -> np.ndarray:
@@ -132,29 +134,33 @@ def _code(rows: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]
 
 
 def _spread(rows: Iterator[pa.RecordBatch], space: Subspaces, cells: Cells, kind: str) -> Iterator[pa.RecordBatch]:
-    """A row for each task a vector takes part in; ``role`` 1: at home, 2: in reach, 3: both."""
-    for batch in rows:
-        if not batch.num_rows:
-            continue
-        u = units(batch.column("vec").to_pylist(), kind)
-        node = np.asarray(batch.column("node"), np.int64)
-        h = mix64(node.view(np.uint64))
-        out: list[list[np.ndarray]] = [[], [], [], [], []]
-        for b, (found, salts) in enumerate(cells):
-            x = space.part(u, b)
-            away = np.stack([outside(x, *c) for c in found], axis=1)
-            home = away.argmin(axis=1)  # the first of the boxes that hold it
-            for c, count in enumerate(salts):
-                at = np.flatnonzero(away[:, c] <= space.limits[b])
-                own, slot = home[at] == c, (h[at] % np.uint64(count)).astype(np.int32)
-                for s in range(count):
-                    role = own * 1 + (slot == s) * 2
-                    on = role > 0
-                    for o, a in zip(out, (at[on], np.full(on.sum(), b), np.full(on.sum(), c), np.full(on.sum(), s), role[on])):
-                        o.append(a)
-        at, *rest = (np.concatenate(o).astype(np.int32) for o in out)
-        picked = batch.take(pa.array(at))
-        yield pa.RecordBatch.from_arrays([picked.column("node"), picked.column("copies"), picked.column("vec"), *(pa.array(a) for a in rest)], ["node", "copies", "vec", "block", "cell", "salt", "role"])
+    """A row for each task a vector takes part in; ``role`` 1: at home, 2: in reach, 3: both.
+    The more vectors, the more tasks one of them takes part in, so batches are bounded by
+    what comes out of them."""
+    for whole in rows:
+        for k in range(0, whole.num_rows, PIECE):
+            batch = whole.slice(k, PIECE)
+            u = units(batch.column("vec").to_pylist(), kind)
+            node = np.asarray(batch.column("node"), np.int64)
+            h = mix64(node.view(np.uint64))
+            for b, (found, salts) in enumerate(cells):
+                x = space.part(u, b)
+                away = np.stack([outside(x, *c) for c in found], axis=1)
+                home = away.argmin(axis=1)  # the first of the boxes that hold it
+                at, c = np.nonzero(away <= space.limits[b])
+                own, count = home[at] == c, np.array(salts)[c]
+                slot = (h[at] % count.astype(np.uint64)).astype(np.int64)
+                # at home in all salts of a cell, in reach in one of them
+                times = np.where(own, count, 1)
+                first = np.cumsum(times) - times
+                at, c, own, slot = (np.repeat(z, times) for z in (at, c, own, slot))
+                salt = np.where(own, np.arange(len(at)) - np.repeat(first, times), slot)
+                role = own * 1 + (salt == slot) * 2
+                for i in range(0, len(at), OUT):
+                    on = slice(i, i + OUT)
+                    picked = batch.take(pa.array(at[on]))
+                    rest = (np.full(len(at[on]), b), c[on], salt[on], role[on])
+                    yield pa.RecordBatch.from_arrays([picked.column("node"), picked.column("copies"), picked.column("vec"), *(pa.array(z.astype(np.int32)) for z in rest)], ["node", "copies", "vec", "block", "cell", "salt", "role"])
 
 
 def _join(space: Subspaces, block: int, home: np.ndarray, reach: np.ndarray, u: np.ndarray, node: np.ndarray, copies: np.ndarray) -> np.ndarray:
@@ -201,14 +207,22 @@ def _join(space: Subspaces, block: int, home: np.ndarray, reach: np.ndarray, u:
     return links
 
 
-def _task(t: pa.Table, space: Subspaces, kind: str) -> pa.Table:
-    t = t.combine_chunks()
-    role = np.asarray(t.column("role"))
-    node, copies = (np.asarray(t.column(c), np.int64) for c in ("node", "copies"))
-    u = units(t.column("vec").to_pylist(), kind)
-    links = _join(space, t.column("block")[0].as_py(), np.flatnonzero(role & 1), np.flatnonzero(role & 2), u, node, copies)
+def _task(rows: Iterator[pa.RecordBatch], space: Subspaces, kind: str) -> Iterator[pa.RecordBatch]:
+    """Reads its group batch by batch, so that of each vector only its numbers stay."""
+    parts: list[tuple[np.ndarray, ...]] = []
+    block = 0
+    for batch in rows:
+        if batch.num_rows:
+            block = batch.column("block")[0].as_py()
+            # copies, as the batch goes
+            parts.append((units(batch.column("vec").to_pylist(), kind), *(np.array(batch.column(c), np.int64) for c in ("role", "node", "copies"))))
+    if not parts:
+        return
+    u, role, node, copies = (np.concatenate(p) for p in zip(*parts))
+    parts.clear()
+    links = _join(space, block, np.flatnonzero(role & 1), np.flatnonzero(role & 2), u, node, copies)
     on = np.flatnonzero(links)
-    return pa.table({"node": pa.array(node[on]), "links": pa.array(links[on])})
+    yield pa.RecordBatch.from_arrays([pa.array(node[on]), pa.array(links[on])], ["node", "links"])
 
 
 def near_links(vectors: DataFrame, min_cosine: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", blocks: int = BLOCKS, cell: int = CELL, reach: int = REACH) -> DataFrame:
@@ -253,5 +267,9 @@ def _counts(nodes: DataFrame, dims: int, n: int, min_cosine: float, blocks: int,
         sample = [bytes(r.vec) for r in nodes.select("vec", F.xxhash64("vec").alias("h")).orderBy("h", "vec").limit(SAMPLE).collect()]
     cells = cells_of(space, units(sample, kind) if sample else np.zeros((0, dims)), n, cell, reach)
     rows = nodes.select("node", "copies", "vec").mapInArrow(lambda it: _spread(it, space, cells, kind), "node bigint, copies bigint, vec binary, block int, cell int, salt int, role int")
-    counts = rows.groupBy("block", "cell", "salt").applyInArrow(lambda t: _task(t, space, kind), "node bigint, links bigint")
+
+    def task(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _task(group, space, kind)
+
+    counts = rows.groupBy("block", "cell", "salt").applyInArrow(task, "node bigint, links bigint")
     return written(counts, "emb-links")
