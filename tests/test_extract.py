@@ -5,6 +5,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 
 from webloom.functions import html as H
+from webloom.functions import jsvars
 from webloom.functions.dom import parse
 from webloom.functions.extract import MISS, Page, join, json_arrow, normalise_path, resolve_url
 from webloom.functions.jsvars import js_variables
@@ -194,3 +195,40 @@ def F_lit(v):
     from pyspark.sql import functions as F
 
     return F.lit(v)
+
+
+def test_a_script_is_read_once_for_all_functions(monkeypatch):
+    from webloom.functions import extract
+
+    read = []
+    monkeypatch.setattr(extract, "tokens", lambda s: read.append(s) or jsvars.tokens(s))
+    p = Page('<script>var a = [1, {"k": 2}]; window.__STATE__ = {"s": 3}; window.__DATA__ = 4;</script><script type="application/ld+json">{"@type":"T"}</script>')
+    assert p.js() == {"a": [1, {"k": 2}]} and p.js(True) == {"a": [1, {"k": 2}], "__STATE__": {"s": 3}, "__DATA__": 4}
+    assert p.hydration == {"__DATA__": 4}
+    assert p.path("@$a[0]") == 1 and p.path("@$a[1].k") == 2 and p.path("@$nope") is MISS
+    assert len(read) == 1
+
+
+def test_elements_are_in_document_order_and_selected_by_tag():
+    p = Page("</p><table><td>1<tr><th>2</table><h1>a<h2>b<title>t</title><ul><li>x<p>y<li>z</ul>")
+    assert [id(e) for e in p.elements] == [id(e) for e in p.root.walk()]
+    for s in ("li", "td, th", "tr td", ".none", "*", "ul > li:last-child", "[href]"):
+        assert [id(e) for e in p.all(s)] == [id(e) for e in compile_selector(s).select(p.root)]
+
+
+def test_pages_that_go_leave_nothing_to_the_collector(monkeypatch):
+    import gc
+
+    from webloom.functions.dom import Element
+
+    monkeypatch.setattr(H, "KEPT", 3000)
+    H._parsed.clear()
+    monkeypatch.setattr(H, "_size", 0)
+    gc.collect()
+    before = sum(isinstance(o, Element) for o in gc.get_objects())
+    with H.uncollected():
+        assert not gc.isenabled()
+        for i in range(200):
+            assert H.page(f"<p>{i}<ul>" + "<li>x" * 20).texts("li") == ["x"] * 20
+    assert sum(isinstance(o, Element) for o in gc.get_objects()) - before < 30 * 40
+    assert gc.isenabled()

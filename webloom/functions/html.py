@@ -7,8 +7,10 @@ Null in, null out. What "no match" gives is said by each function.
 
 from __future__ import annotations
 
+import contextlib
+import gc
 from collections import OrderedDict
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import pandas as pd
@@ -33,6 +35,19 @@ _parsed: OrderedDict[str, Page] = OrderedDict()
 _size = 0
 
 
+@contextlib.contextmanager
+def uncollected() -> Iterator[None]:
+    """Within, Python doesn't look for cycles: pages have many and are closed when they go,
+    so it would read the trees of a batch again and again and find nothing."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def page(html: str) -> Page:
     """A worker runs the functions of one page over a whole batch, one after another; the
     last pages stay parsed, so that all of them read the same tree."""
@@ -42,7 +57,9 @@ def page(html: str) -> Page:
         found = _parsed[html] = Page(html)
         _size += len(html)
         while _size > KEPT and len(_parsed) > 1:
-            _size -= len(_parsed.popitem(last=False)[0])
+            html, old = _parsed.popitem(last=False)
+            _size -= len(html)
+            old.close()
     else:
         _parsed.move_to_end(html)
     return found
@@ -69,7 +86,8 @@ def row_udf(f: Callable[..., Any], kind: T.DataType) -> Callable[..., Column]:
 
 def _series(f: Callable[..., Any]) -> Callable[..., pd.Series]:
     def batch(first: pd.Series, *rest: pd.Series) -> pd.Series:
-        return pd.Series([None if any(v is None for v in r) else f(*r) for r in zip(first, *rest)], dtype=object)
+        with uncollected():
+            return pd.Series([None if any(v is None for v in r) else f(*r) for r in zip(first, *rest)], dtype=object)
 
     return _annotated(batch, f)
 
@@ -77,9 +95,10 @@ def _series(f: Callable[..., Any]) -> Callable[..., pd.Series]:
 def _lists(f: Callable[..., Any]) -> Callable[..., pd.Series]:
     def batch(first: pd.Series, *rest: pd.Series) -> pd.Series:
         out = []
-        for r in zip(first, *rest):
-            v = None if any(x is None for x in r) else f(*r)
-            out.append(None if v is None else [v])
+        with uncollected():
+            for r in zip(first, *rest):
+                v = None if any(x is None for x in r) else f(*r)
+                out.append(None if v is None else [v])
         return pd.Series(out, dtype=object)
 
     return _annotated(batch, f)
