@@ -70,3 +70,8 @@ def test_only_the_training_data_package_may_be_missing(monkeypatch):
 def test_entry(spark):
     assert entry.entry(spark).count() == 10
     assert set(entry.oracle_sql()) <= set(entry.queries()) and set(QUERIES) <= set(entry.queries())
+
+
+def test_list_items_are_read_once(spark):
+    plan = QUERIES["list_items"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1, plan

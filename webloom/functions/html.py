@@ -73,13 +73,16 @@ def _literal(v: Column | str) -> Column:
     return F.lit(v) if isinstance(v, str) else v
 
 
-def row_udf(f: Callable[..., Any], kind: T.DataType) -> Callable[..., Column]:
-    """A batched UDF that calls ``f`` for rows without nulls."""
+def row_udf(f: Callable[..., Any], kind: T.DataType, once: bool = False) -> Callable[..., Column]:
+    """A batched UDF that calls ``f`` for rows without nulls. What is filtered on is run
+    ``once``: what is taken for deterministic is copied into the filter, which Spark pushes
+    below the UDF and below the spreading of a small file over the cores."""
 
     # a pandas frame can't hold a null struct, so structs travel as lists of one
     if isinstance(kind, T.StructType):
         wrapped = T.ArrayType(kind)
         udf = F.pandas_udf(_lists(f), wrapped)
+        udf = udf.asNondeterministic() if once else udf
         return lambda *c: F.get(udf(*c), F.lit(0))
     return F.pandas_udf(_series(f), kind)
 
@@ -317,7 +320,7 @@ def meta_nofollow(html: Column | str) -> Column:
 
 def html_table(html: Column | str, selector: str = "table", index: int = 1, citations: bool = True) -> Column:
     """struct(headers, rows) of the index-th table or list; null if there is none."""
-    return row_udf(_table, TABLE)(_col(html), F.lit(selector), F.lit(index), F.lit(citations))
+    return row_udf(_table, TABLE, once=True)(_col(html), F.lit(selector), F.lit(index), F.lit(citations))
 
 
 def html_struct(body: Column | str, content_type: Column | str) -> Column:
