@@ -360,3 +360,28 @@ def test_names():
         with pytest.raises(ValueError):
             names.quote_name(bad)
     assert names.valid_name("_a.b1") and not names.valid_name("1a") and not names.valid_name("a" * 129) and not names.valid_name("a-b")
+
+
+def test_a_giant_site_without_delay_is_spread(spark, monkeypatch):
+    from webloom.sources import fetch
+
+    class Two:
+        """Answers with the task that asks; one site wants a delay."""
+
+        def fetch(self, url, options):
+            if url.endswith("/robots.txt"):
+                return fetch.response(url, 200, "text/plain", "User-agent: *\nDisallow: /p9\n" + ("Crawl-delay: 0.001\n" if "slow" in url else ""), url)
+            from pyspark import TaskContext
+
+            return fetch.response(url, 200, "text/html", str(TaskContext.get().partitionId()), url)
+
+    monkeypatch.setattr(fetch, "GIANT", 20)
+    urls = [f"https://{s}.example/p{i}" for s in ("fast", "slow") for i in range(200)] + ["https://small.example/p1"]
+    df = spark.createDataFrame([(u, i) for i, u in enumerate(urls)], "url string, seq bigint")
+    got = fetch.fetch_all(df, Two(), fetch.Options(delay_ms=0), 8).collect()
+    assert sorted(r.url for r in got) == sorted(urls) and {r.seq for r in got} == set(range(len(urls)))
+    tasks = {s: {r.body for r in got if s in r.url and r.error_type is None} for s in ("fast", "slow", "small")}
+    assert len(tasks["fast"]) > 2 and len(tasks["slow"]) == len(tasks["small"]) == 1, tasks
+    assert {r.url for r in got if r.error_type} == {u for u in urls if "/p9" in u}
+    again = fetch.fetch_all(df, Two(), fetch.Options(delay_ms=0, max_retries=1), 8).collect()
+    assert len({r.body for r in again if "fast" in r.url and r.error_type is None}) == 1

@@ -319,15 +319,48 @@ class Visitor:
         return now + wait
 
 
+#: URLs of a site from which it counts as giant, and about as many that one task gets of it.
+GIANT = 10_000
+
+
+def _spread_sites(rows: DataFrame, fetcher: Fetcher, options: Options) -> DataFrame:
+    """``rows`` whose ``_site`` is split for giant sites that ask for no delay."""
+    from ..functions.robots import crawl_delay
+    from ..session import written
+
+    if rows.limit(GIANT + 1).count() <= GIANT:
+        return rows
+
+    def parts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            out = []
+            for site, n, homes in zip(pdf["_site"], pdf["n"], pdf["homes"]):
+                got = [fetcher.fetch(h + "/robots.txt", options) for h in sorted(homes) if origin(h)]
+                waits = [crawl_delay(r["body"] or "", options.user_agent) for r in got if 200 <= r["status"] < 300]
+                if not any(waits):
+                    out.append((site, -(-n // GIANT)))
+            yield pd.DataFrame(out, columns=["_site", "_parts"])
+
+    home = F.lower(F.regexp_extract("url", r"^([^/]*?://[^/?#]*)", 1))
+    giant = rows.groupBy("_site").agg(F.count("*").alias("n"), F.collect_set(home).alias("homes")).where(F.col("n") > GIANT)
+    giant = written(giant.mapInPandas(parts, "_site string, _parts bigint"), "sites")
+    split = F.concat("_site", F.lit("#"), F.pmod(F.xxhash64("url"), "_parts"))
+    return rows.join(giant, "_site", "left").withColumn("_site", F.coalesce(split, "_site")).drop("_parts")
+
+
 def fetch_all(urls: DataFrame, fetcher: Fetcher, options: Options, partitions: int | None = None, polite: bool = True, robots: bool | None = None) -> DataFrame:
     """Responses for the rows of ``urls`` (url, seq and further columns). All URLs of one
     host are in one partition and in order, so its delay needs no clock beyond the task.
+    A giant site is spread over the cluster if neither the settings nor its robots.txt
+    (asked for once more in each task) want a delay and no 429 can hold it back.
     Without politeness a host's URLs are spread over the cluster, so that a giant site
     isn't one task. Write the result before using it twice: a second evaluation would
     fetch again."""
     check = options.respect_robots if robots is None else robots
     site = F.lower(F.regexp_extract("url", r"^[^/]*?://([^/?#]*)", 1))
     rows = urls.withColumn("_site", site if polite and (options.delay_ms or check) else F.hash("url").cast("string"))
+    if polite and check and not (options.delay_ms or options.adaptive_delay or options.max_retries):
+        rows = _spread_sites(rows, fetcher, options)
     rows = (rows.repartition(partitions, "_site") if partitions else rows.repartition("_site")).sortWithinPartitions("_site", "seq")
     schema = T.StructType([*urls.schema.fields, *(f for f in RESPONSE.fields if f.name != "url"), T.StructField("error_type", T.StringType())])
     names = schema.names
